@@ -148,6 +148,16 @@ OPERATORS = {
             select GeoID, Date, max(Date) over (partition by GeoID) as newest from region_dense)
           where Date <= newest - 10 group by 1) using (GeoID)
         where Date = mx or Date = mx - 14""",
+    "lag_cutoff_raw_events": """
+        select c.* from clicks c join (select GeoID, max(Date) - 2 as cut from clicks group by 1)
+        using (GeoID) where Date <= cut""",
+    "anchor_pair_raw_events": """
+        select c.* from clicks c join (
+          select GeoID, max(Date) as mx from (
+            select GeoID, Date, max(Date) over (partition by GeoID) as newest from clicks)
+          where Date <= newest - 2 group by 1) using (GeoID)
+        where Date = mx or Date = mx - 7""",
+    "latest_raw_events": s.latest("clicks"),
     "latest_per_key": s.latest("panel"),
     "latest_per_measure": s.latest(f"({s.compare('panel_seven', COMPARED)})", "GeoID, Measure"),
     "hospital_derive": s.hospital("hosp"),

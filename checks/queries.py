@@ -96,6 +96,9 @@ OPERATORS: Mapping[str, Query] = {
         p.vacc, F.date_sub(ops.newest_date_on(p.cdt, WEEKDAY), 10), SERIES
     ),
     "anchor_pair": lambda p: ops.anchor_pair(p.region_dense, 14, 10),
+    "lag_cutoff_raw_events": lambda p: ops.cut_to_lag_by_key(p.events, 2, strategy="join"),
+    "anchor_pair_raw_events": lambda p: ops.anchor_pair(p.events, 7, 2, strategy="join"),
+    "latest_raw_events": lambda p: ops.latest_per_key(p.events, strategy="join"),
     "latest_per_key": lambda p: ops.latest_per_key(panel(p)),
     "latest_per_measure": lambda p: ops.latest_per_key(
         ops.compare_periods(panel_roll(p, 7), COMPARED), ("GeoID", "Measure")

@@ -17,6 +17,7 @@ from pyspark.sql.window import Window
 
 from ..functions import iso_weekday, latest_monday, shifted_weekday
 from ..specs import DATE, KEY
+from .latest import check_strategy, join_newest
 
 
 def newest_date(df: DataFrame, date: str = DATE) -> Column:
@@ -35,16 +36,19 @@ def cut_to_lag(df: DataFrame, lag: int, date: str = DATE) -> DataFrame:
     return df.where(F.col(date) <= F.date_sub(newest_date(df, date), lag))
 
 
+def _with_newest(df: DataFrame, key: str, date: str, strategy: str) -> DataFrame:
+    check_strategy(strategy)
+    if strategy == "join":
+        return join_newest(df, [key], date)
+    return df.withColumn("_newest", F.max(date).over(Window.partitionBy(key)))
+
+
 def cut_to_lag_by_key(
-    df: DataFrame, lag: int, key: str = KEY, date: str = DATE
+    df: DataFrame, lag: int, key: str = KEY, date: str = DATE, strategy: str = "window"
 ) -> DataFrame:
     """As :func:`cut_to_lag`, with the newest date taken inside each key."""
-    newest = F.max(date).over(Window.partitionBy(key))
-    return (
-        df.withColumn("_newest", newest)
-        .where(F.col(date) <= F.date_sub("_newest", lag))
-        .drop("_newest")
-    )
+    dated = _with_newest(df, key, date, strategy)
+    return dated.where(F.col(date) <= F.date_sub("_newest", lag)).drop("_newest")
 
 
 def trailing_period(
@@ -97,16 +101,14 @@ def on_date_or_newest(
 
 
 def anchor_pair(
-    df: DataFrame, days: int, lag: int = 0, key: str = KEY, date: str = DATE
+    df: DataFrame,
+    days: int,
+    lag: int = 0,
+    key: str = KEY,
+    date: str = DATE,
+    strategy: str = "window",
 ) -> DataFrame:
-    """Per key, the newest row after the lag cut and the row ``days`` before it."""
-    cut = cut_to_lag_by_key(df, lag, key, date)
-    newest = F.max(date).over(Window.partitionBy(key))
-    return (
-        cut.withColumn("_newest", newest)
-        .where(
-            (F.col(date) == F.col("_newest"))
-            | (F.col(date) == F.date_sub("_newest", days))
-        )
-        .drop("_newest")
-    )
+    """Per key, rows on the newest date after the lag cut and ``days`` before it."""
+    cut = cut_to_lag_by_key(df, lag, key, date, strategy)
+    on_anchor = F.col(date).isin(F.col("_newest"), F.date_sub("_newest", days))
+    return _with_newest(cut, key, date, strategy).where(on_anchor).drop("_newest")

@@ -1,7 +1,7 @@
 """Named sets of tables built from the operators."""
 
 from .base import base_bundle
-from .bundle import Bundle
+from ..bundle import Bundle
 from .hub import hub_bundle
 from .snapshot import SnapshotPlaces, snapshot_bundle
 

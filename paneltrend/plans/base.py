@@ -6,11 +6,11 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
+from ..bundle import Bundle
 from ..operators.derive import age_bands, hospital_measures, reported_sums
 from ..operators.merge import merge_panels
 from ..operators.rolling import rolling_summary
 from ..specs import RollSpec
-from .bundle import Bundle
 
 # Columns of the merged case and hospital panel, in output order.
 MERGED_COLUMNS = (

@@ -9,6 +9,7 @@ from functools import cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..bundle import Bundle
 from ..functions import guarded_ratio
 from ..operators.compare import compare_wide, with_previous
 from ..operators.criteria import criteria_summary
@@ -34,7 +35,6 @@ from ..specs import (
     PeriodMeasureSpec,
     RollSpec,
 )
-from .bundle import Bundle
 
 SIX_WEEKS = 42
 

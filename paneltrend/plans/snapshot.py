@@ -10,6 +10,7 @@ from functools import cache
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..bundle import Bundle
 from ..functions import guarded_ratio, weekday_number
 from ..operators.compare import compare_wide, with_previous
 from ..operators.cutoffs import (
@@ -23,7 +24,6 @@ from ..operators.derive import override_by_key, seven_day_ratios
 from ..operators.latest import latest_per_key
 from ..operators.reshape import stack
 from ..specs import IDS, MeasureSpec
-from .bundle import Bundle
 
 SIX_WEEKS = 42
 

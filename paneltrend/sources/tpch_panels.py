@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..bundle import Bundle
 from ..operators.merge import in_key_set, lookup, merge_panels
 from .landed import Dimensions
 
@@ -37,9 +38,12 @@ class TpchPanels:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     # -- dimensions ---------------------------------------------------------
 
@@ -336,19 +340,21 @@ class TpchPanels:
         )
 
     @cached_property
-    def inputs(self) -> dict[str, DataFrame]:
+    def inputs(self) -> Bundle:
         """The five inputs of a base bundle, case and hospital data cut to ``base``."""
 
         def base(panel: DataFrame) -> DataFrame:
             return in_key_set(panel, self.key_sets, "base")
 
-        return {
-            "cdtData": base(self.cdt),
-            "cdtNRData": base(self.cdt_newly_reported),
-            "hospData": base(self.hosp),
-            "vaccData": self.vacc,
-            "vaccCDCData": self.vacc_cdc,
-        }
+        return Bundle(
+            {
+                "cdtData": lambda: base(self.cdt),
+                "cdtNRData": lambda: base(self.cdt_newly_reported),
+                "hospData": lambda: base(self.hosp),
+                "vaccData": lambda: self.vacc,
+                "vaccCDCData": lambda: self.vacc_cdc,
+            }
+        )
 
 
 def _running(key: str):
