@@ -108,7 +108,7 @@ OPERATORS: Mapping[str, Query] = {
     "age_bands": lambda p: ops.age_bands(p.vacc_cdc),
     "first_difference": lambda p: ops.daily_vaccinations(p.vacc),
     "cdc_rates": lambda p: ops.vaccination_rates(ops.age_bands(p.vacc_cdc)),
-    "guarded_ratio_kpi": lambda p: ops.testing_targets(panel_roll(p, 7), p.population).select(
+    "guarded_ratio_kpi": lambda p: ops.against_testing_targets(panel_roll(p, 7), p.population).select(
         *IDS,
         "TestsPositiveNew7DayAvgProportion",
         "DeathsToCases7DayProportion",

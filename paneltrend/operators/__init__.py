@@ -25,7 +25,7 @@ from .derive import (
     positive_and_negative_tests,
     reported_sums,
     seven_day_ratios,
-    testing_targets,
+    against_testing_targets,
     vaccination_rates,
 )
 from .drift import dimension_drift, drift_counts, has_drifted

@@ -201,7 +201,7 @@ def seven_day_ratios(df: DataFrame, suffix: str) -> DataFrame:
     )
 
 
-def testing_targets(df: DataFrame, population: DataFrame) -> DataFrame:
+def against_testing_targets(df: DataFrame, population: DataFrame) -> DataFrame:
     """7-day summary with ratios, testing targets and the KPIs against them."""
     rated = seven_day_ratios(df, "Proportion").withColumns(
         {

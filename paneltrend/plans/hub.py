@@ -17,7 +17,7 @@ from ..operators.cutoffs import cut_to_lag, thin_to_newest_weekday, trailing_per
 from ..operators.derive import (
     daily_vaccinations,
     positive_and_negative_tests,
-    testing_targets,
+    against_testing_targets,
     vaccination_rates,
 )
 from ..operators.latest import latest_per_key
@@ -181,7 +181,7 @@ def hub_bundle(
 
     @cache
     def rated() -> DataFrame:
-        return testing_targets(base["cdtHosp7DayRollingData"], dims.population).select(
+        return against_testing_targets(base["cdtHosp7DayRollingData"], dims.population).select(
             *IDS,
             *CASE_COLUMNS,
             "KPI_PopulationTests",
