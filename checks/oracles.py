@@ -11,7 +11,7 @@ from paneltrend.plans.hub import (
     VACCINATION_CHANGES,
     VACCINATION_WINDOWS,
 )
-from paneltrend.plans.snapshot import SLICED, WEEKLY_CASES, WEEKLY_HOSPITAL, is_hospital
+from paneltrend.plans.snapshot import SLICED, WEEKLY_CASES, WEEKLY_HOSPITAL
 from paneltrend.specs import ChangeWindow
 
 from . import sql as s
@@ -84,7 +84,7 @@ def sliced() -> str:
     parts = []
     for days, source in ((7, "roll_seven"), (14, "roll_fourteen")):
         for hospital, lag in ((False, 10), (True, 2)):
-            measures = [m for m in SLICED if is_hospital(m) == hospital]
+            measures = [m for m in SLICED if m.template.startswith("Covid") == hospital]
             compared = s.compare(f"({up_to_weekday(source, 7)})", measures, days)
             newest = s.latest(f"({s.lag_cut(f'({compared})', lag)})", "GeoID, Measure")
             parts.append(

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import change_kpi, guarded_ratio
 from ..specs import DATE, IDS, KEY, KpiBand, MeasureSpec
@@ -29,11 +28,13 @@ def with_previous(
     lag per measure over the partitioning the rolling summary already has,
     instead of one over a table ``len(measures)`` times as long.
     """
-    reports = Window.partitionBy(key).orderBy(date)
     step = days if lag is None else lag
     names = [m.name(days) for m in measures]
-    previous = [F.lag(n, step).over(reports).alias(f"_prev_{n}") for n in names]
-    return df.select(*ids, *names, *previous)
+    previous = [
+        f"lag(`{n}`, {step}) over (partition by `{key}` order by `{date}`) as `_prev_{n}`"
+        for n in names
+    ]
+    return df.selectExpr(*[f"`{c}`" for c in (*ids, *names)], *previous)
 
 
 def compare_wide(
@@ -58,13 +59,13 @@ def compare_wide(
         ids,
         [
             {
-                "Measure": F.lit(m.name(days)),
-                "CurrentWeekValue": F.col(m.name(days)).cast(number),
-                "DatePrev": F.date_sub(F.col(date), days),
-                "PreviousWeekValue": F.col(f"_prev_{m.name(days)}").cast(number),
-                "_up_good": F.lit(m.up_good),
+                "Measure": f"'{name}'",
+                "CurrentWeekValue": f"cast(`{name}` as {number})",
+                "DatePrev": f"date_sub(`{date}`, {days})",
+                "PreviousWeekValue": f"cast(`_prev_{name}` as {number})",
+                "_up_good": "true" if m.up_good else "false",
             }
-            for m in measures
+            for name, m in zip(names, measures)
         ],
     )
     now, before = F.col("CurrentWeekValue"), F.col("PreviousWeekValue")

@@ -11,9 +11,22 @@ from pyspark.sql import types as T
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
-def stack(df: DataFrame, keep: Sequence[str], rows: Sequence[Mapping[str, Column]]) -> DataFrame:
-    """One output row per input row and entry of ``rows``, after ``keep`` columns."""
-    structs = [F.struct(*[c.alias(n) for n, c in row.items()]) for row in rows]
+def stack(
+    df: DataFrame, keep: Sequence[str], rows: Sequence[Mapping[str, Column | str]]
+) -> DataFrame:
+    """One output row per input row and entry of ``rows``, after ``keep`` columns.
+
+    Values are columns or SQL text.
+    """
+    structs = [
+        F.struct(
+            *[
+                F.expr(f"{value} as `{name}`") if isinstance(value, str) else value.alias(name)
+                for name, value in row.items()
+            ]
+        )
+        for row in rows
+    ]
     return df.select(*keep, F.inline(F.array(*structs)))
 
 

@@ -36,17 +36,18 @@ def _check(strategy: str) -> None:
 
 def _range_frame(
     function: str, column: str, before: int, after: int, key: str, date: str
-) -> Column:
-    """``function(column)`` over the calendar days around a row.
+) -> str:
+    """SQL text of ``function(column)`` over the calendar days around a row.
 
-    Written as SQL text because a date ordering takes whole-day bounds there;
-    ordering by the date itself (not by a day number) lets every window of a
-    chain share one sort.
+    A date ordering takes whole-day bounds in SQL text (the column API wants a
+    number to order by), and ordering by the date itself lets every window of
+    a chain share one sort.  NULL where the row has no key or date.
     """
     upper = "current row" if after == 0 else f"{after} following"
-    return F.expr(
+    return (
+        f"case when `{key}` is not null and `{date}` is not null then "
         f"{function}(`{column}`) over (partition by `{key}` order by `{date}` "
-        f"range between {before} preceding and {upper})"
+        f"range between {before} preceding and {upper}) end"
     )
 
 
@@ -82,7 +83,6 @@ def rolling_summary(
     if strategy == "explode":
         return _rolling_by_explode(source, days, specs, ids, key, date)
 
-    known = _known(key, date)
     rolled = []
     for spec in specs:
         for function, name, wanted in (
@@ -91,8 +91,8 @@ def rolling_summary(
         ):
             if wanted:
                 frame = _range_frame(function, spec.variable, days - 1, 0, key, date)
-                rolled.append(F.when(known, frame).alias(name))
-    return source.select(*ids, *rolled)
+                rolled.append(f"{frame} as `{name}`")
+    return source.selectExpr(*[f"`{c}`" for c in ids], *rolled)
 
 
 def _rolling_by_explode(
@@ -140,8 +140,9 @@ def rolling_max(
     """Set ``name`` to the largest ``column`` within ``before``/``after`` days."""
     _check(strategy)
     if strategy == "window":
-        frame = _range_frame("max", column, before, after, key, date)
-        return df.withColumn(name, F.when(_known(key, date), frame))
+        return df.withColumn(
+            name, F.expr(_range_frame("max", column, before, after, key, date))
+        )
 
     daily = df.where(_known(key, date)).groupBy(key, date).agg(F.max(column).alias("_max"))
     peaks = (

@@ -9,6 +9,7 @@ from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..bundle import Bundle
 from ..functions import guarded_ratio, weekday_number
@@ -16,6 +17,7 @@ from ..operators.compare import compare_wide, with_previous
 from ..operators.cutoffs import (
     cut_to_lag,
     cut_to_weekday,
+    newest_date_on,
     on_date_or_newest,
     thin_to_weekday,
     trailing_period,
@@ -92,20 +94,44 @@ class SnapshotPlaces:
     hospital_totals: Mapping[str, int] = field(default_factory=dict)
 
 
-def is_hospital(measure: MeasureSpec) -> bool:
-    return measure.template.startswith("Covid")
-
-
 def slice_comparison(
-    rolled: DataFrame, measures: Sequence[MeasureSpec], days: int, lag: int, weekday: int, focus: str
+    rolled: DataFrame, days: int, weekday: int, lag_cases: int, lag_hospital: int, focus: str
 ) -> DataFrame:
-    """Newest comparison of one key, cut to a weekday and then by a lag."""
-    wide = with_previous(cut_to_weekday(rolled, weekday), measures, days)
-    newest = latest_per_key(cut_to_lag(wide, lag).where(F.col("GeoID") == focus))
-    long = compare_wide(newest, measures, days)
+    """Newest comparison of one key: cut to a weekday, then by each measure's lag.
+
+    The weekday's newest date is itself the newest date of what the first cut
+    leaves, and lags only look back, so both cuts can follow the lags; case
+    and hospital measures then differ only in which row they take, and one
+    pass serves both.
+    """
+    cut = newest_date_on(rolled, weekday)
+    by_key = Window.partitionBy("GeoID")
+    newest = {
+        f"_newest_{name}": F.max(
+            F.when(F.col("Date") <= F.date_sub(cut, lag), F.col("Date"))
+        ).over(by_key)
+        for name, lag in (("cases", lag_cases), ("hospital", lag_hospital))
+    }
+    on_newest = F.col("Date").isin(*[F.col(c) for c in newest])
+    wide = (
+        with_previous(rolled, SLICED, days)
+        .where(F.col("GeoID") == focus)
+        .withColumns(newest)
+        .where(on_newest)
+    )
+    about_hospital = F.col("Measure").startswith("Covid")
+    own_newest = F.when(about_hospital, F.col("_newest_hospital")).otherwise(F.col("_newest_cases"))
+    long = (
+        compare_wide(wide, SLICED, days, ids=(*IDS, *newest))
+        .where(F.col("Date") == own_newest)
+        .drop(*newest)
+    )
     renamed = {c: c.replace("Week", "", 1) for c in long.columns if "Week" in c}
     return long.withColumnsRenamed(renamed).withColumns(
-        {"Days": F.lit(days), "Lag": F.lit(lag)}
+        {
+            "Days": F.lit(days),
+            "Lag": F.when(about_hospital, F.lit(lag_hospital)).otherwise(F.lit(lag_cases)),
+        }
     )
 
 
@@ -150,22 +176,18 @@ def snapshot_bundle(
 
     @cache
     def sliced() -> DataFrame:
-        parts = [
+        seven, fourteen = (
             slice_comparison(
                 base[f"cdtHosp{days}DayRollingData"],
-                [m for m in SLICED if is_hospital(m) == about_hospital],
                 days,
-                lag_hospital if about_hospital else lag_cases,
                 weekday,
+                lag_cases,
+                lag_hospital,
                 places.focus,
             )
             for days in (7, 14)
-            for about_hospital in (False, True)
-        ]
-        union = parts[0]
-        for part in parts[1:]:
-            union = union.unionByName(part)
-        return union
+        )
+        return seven.unionByName(fourteen)
 
     @cache
     def range_ends() -> DataFrame:

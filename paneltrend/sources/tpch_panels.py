@@ -180,56 +180,63 @@ class TpchPanels:
     def hosp(self) -> DataFrame:
         """Shipped quantities by supplier nation and day.
 
-        Lines are first reduced per supplier and day, so a supplier with any
-        share of the lines collapses before the shuffle, and counting the
-        suppliers of a day needs no distinct.
+        Sums go straight to nation and day: the wide rows exist only after the
+        combine.  The suppliers of a day are counted from distinct supplier
+        and day pairs, combined before their shuffle, so neither part carries
+        more than it needs and a busy supplier weighs no more than its days.
         """
-        quantity = F.col("l_quantity").cast("bigint")
+        suppliers = self.table("supplier").select(
+            F.col("s_suppkey").alias("supplier"), F.col("s_nationkey").alias("nation")
+        )
+        lines = self.table("lineitem").select(
+            F.col("l_suppkey").alias("supplier"),
+            F.to_date("l_shipdate").alias("Date"),
+            F.col("l_quantity").cast("bigint").alias("quantity"),
+            "l_returnflag",
+            "l_linestatus",
+        )
+        quantity = F.col("quantity")
         returned = F.col("l_returnflag") == "R"
         accepted = F.col("l_returnflag") == "A"
         neither = F.col("l_returnflag") == "N"
         filled = F.col("l_linestatus") == "F"
-        lines = F.count("*")
-        by_supplier = (
-            self.table("lineitem")
-            .groupBy(F.col("l_suppkey").alias("supplier"), F.to_date("l_shipdate").alias("Date"))
-            .agg(
-                (lines * 50).alias("BedsTotal"),
-                F.sum(quantity).alias("BedsUsed"),
-                (lines * 25).alias("BedsAvailable"),
-                (lines * 20).alias("BedsICUTotal"),
-                _sum_if(accepted & filled, quantity).alias("BedsICUUsed"),
-                (_count_if(accepted) * 10).alias("BedsICUAvailable"),
-                (lines * 40).alias("BedsInpatientTotal"),
-                F.coalesce(_sum_if(returned, quantity), F.lit(0)).alias("CovidTotal"),
-                _sum_if(returned & filled, quantity).alias("CovidNew24HConfirmed"),
-                _sum_if(returned & ~filled, quantity).alias("CovidNew24HSuspected"),
-                _sum_if(accepted & ~filled, quantity).alias("CovidICUTotal"),
-                _count_if(returned & filled).alias("CovidICUConfirmed"),
-                _count_if(returned & ~filled).alias("CovidICUSuspected"),
-                _count_if(returned).alias("CovidConfirmedAdult"),
-                _count_if(neither & filled).alias("CovidConfirmedPediatric"),
-                (lines * 9).alias("VentilatorsTotal"),
-                _sum_if(neither & filled, quantity).alias("VentilatorsUsed"),
-                (_count_if(neither) * 5).alias("VentilatorsAvailable"),
-                _sum_if(neither & ~filled, quantity).alias("CovidVentilatorsUsed"),
-            )
-        )
-        suppliers = self.table("supplier").select(
-            F.col("s_suppkey").alias("supplier"), F.col("s_nationkey").alias("nation")
-        )
-        measures = [c for c in by_supplier.columns if c not in ("supplier", "Date")]
+        n = F.count("*")
+        measures = {
+            "BedsTotal": n * 50,
+            "BedsUsed": F.sum(quantity),
+            "BedsAvailable": n * 25,
+            "BedsICUTotal": n * 20,
+            "BedsICUUsed": _sum_if(accepted & filled, quantity),
+            "BedsICUAvailable": _count_if(accepted) * 10,
+            "BedsInpatientTotal": n * 40,
+            "CovidTotal": F.coalesce(_sum_if(returned, quantity), F.lit(0)),
+            "CovidNew24HConfirmed": _sum_if(returned & filled, quantity),
+            "CovidNew24HSuspected": _sum_if(returned & ~filled, quantity),
+            "CovidICUTotal": _sum_if(accepted & ~filled, quantity),
+            "CovidICUConfirmed": _count_if(returned & filled),
+            "CovidICUSuspected": _count_if(returned & ~filled),
+            "CovidConfirmedAdult": _count_if(returned),
+            "CovidConfirmedPediatric": _count_if(neither & filled),
+            "VentilatorsTotal": n * 9,
+            "VentilatorsUsed": _sum_if(neither & filled, quantity),
+            "VentilatorsAvailable": _count_if(neither) * 5,
+            "CovidVentilatorsUsed": _sum_if(neither & ~filled, quantity),
+        }
         daily = (
-            by_supplier.join(suppliers, "supplier")
+            lines.join(suppliers, "supplier")
             .groupBy("nation", "Date")
-            .agg(
-                F.count("*").alias("HospitalsReporting"),
-                *[F.sum(m).alias(m) for m in measures],
-            )
+            .agg(*[c.alias(name) for name, c in measures.items()])
+        )
+        reporting = (
+            lines.select("supplier", "Date")
+            .distinct()
+            .join(suppliers, "supplier")
+            .groupBy("nation", "Date")
+            .agg(F.count("*").alias("HospitalsReporting"))
         )
         places = suppliers.groupBy("nation").agg(F.count("*").alias("HospitalsTotal"))
         return self._named(
-            lookup(daily, places, "nation").select(
+            lookup(daily.join(reporting, ["nation", "Date"]), places, "nation").select(
                 "nation", "Date", "HospitalsReporting", "HospitalsTotal", *measures
             )
         )
