@@ -22,10 +22,8 @@ RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 HEADLINES = (
     "rolling_7",
-    "rolling_14",
     "rolling_explode",
     "rolling_raw_events",
-    "lag_cutoff_global",
     "latest_per_key",
     "hospital_derive",
     "age_bands",
@@ -35,7 +33,6 @@ HEADLINES = (
     "change_since_grid",
     "vacc_change_grid",
     "criteria_14",
-    "snapshot_comparison",
     "snapshot_region_vacc",
 )
 
