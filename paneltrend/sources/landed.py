@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions import utc_instant
 from ..operators.derive import drop_unkeyed
-from ..operators.merge import in_key_set
+from ..operators.merge import in_key_set, repeated_keys
 from .schemas import DIMENSIONS, PANELS
 
 FORMATS = ("parquet", "json", "csv", "orc")
@@ -63,16 +63,30 @@ def read_bundle(
     key_sets: DataFrame,
     fmt: str = "parquet",
     base_set: str = "base",
+    check_days: bool = True,
     **options: str,
 ) -> dict[str, DataFrame]:
-    """All five inputs by bundle name; ``paths`` is keyed by dataset name."""
+    """All five inputs by bundle name; ``paths`` is keyed by dataset name.
+
+    With ``check_days`` an input that reports a key twice on a day is an
+    error.  That is what bounds every per-key window by the calendar.
+    """
     bundle = {}
     for table, (name, to_base) in INPUTS.items():
         panel = read_panel(spark, name, paths[name], fmt, **options)
+        if check_days:
+            require_one_row_per_day(panel, name)
         bundle[table] = in_key_set(panel, key_sets, base_set) if to_base else panel
     return bundle
 
 
+def require_one_row_per_day(df: DataFrame, name: str) -> None:
+    """Raise when a key has several rows on a day; reads key and date only."""
+    twice = repeated_keys(df).first()
+    if twice is not None:
+        raise ValueError(f"{name}: {twice['rows']} rows for {twice['GeoID']} on {twice['Date']}")
+
+
 def read_dimensions(
     spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet", **options: str
 ) -> Dimensions:

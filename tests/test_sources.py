@@ -102,6 +102,16 @@ def test_bundle_cuts_case_and_hospital_data_only(spark, tmp_path):
     assert counts == {"cdtData": 1, "cdtNRData": 1, "hospData": 1, "vaccData": 2, "vaccCDCData": 2}
 
 
+def test_bundle_rejects_repeated_days(spark, tmp_path):
+    path = landed_json(tmp_path / "twice", [report("a", "2021-03-01"), report("a", "2021-03-01T09:00:00")])
+    names = ("CDT", "CDT_NewlyReported", "Hospital", "Vaccination", "VaccinationCDC")
+    sets = spark.createDataFrame([("base", "a")], "set_name string, GeoID string")
+    with pytest.raises(ValueError, match="CDT: 2 rows for a on 2021-03-01"):
+        read_bundle(spark, dict.fromkeys(names, path), sets, "json")
+    loose = read_bundle(spark, dict.fromkeys(names, path), sets, "json", check_days=False)
+    assert loose["cdtData"].count() == 2
+
+
 def test_dimensions_refresh_and_read(spark, tmp_path):
     upstream = spark.createDataFrame(
         [("Ja", "R", "S", "a", 10, "x")],
