@@ -51,3 +51,15 @@ def test_flagship_query(spark):
 @pytest.mark.parametrize("name", CHOSEN)
 def test_query_equals_its_sql(spark, db, name):
     assert differences(QUERIES[name](spark, SF_DIR), db, ORACLES[name]) == []
+
+
+@pytest.mark.parametrize("name", ["latest_raw_events", "hub_bar_charts", "period_table_7"])
+def test_results_do_not_depend_on_broadcasts(spark, db, name):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        result = QUERIES[name](spark, SF_DIR)
+        assert differences(result, db, ORACLES[name]) == []
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
