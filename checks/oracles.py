@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from paneltrend.plans.base import ROLLED
 from paneltrend.plans.hub import (
     CASE_CHANGES,
     COMPARED,
