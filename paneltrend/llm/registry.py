@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paneltrend.llm import chat_format, exact_dedup
+from paneltrend.llm import chat_format, exact_dedup, mixing, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_url_filter": url_filter.query,
+    "op3_source_mixing": mixing.query,
     "op8_exact_dedup": exact_dedup.query,
     "op9_chat_formatting": chat_format.query,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_url_filter": url_filter.SQL,
+    "op3_source_mixing": mixing.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
     "op9_chat_formatting": chat_format.SQL,
 }
