@@ -42,3 +42,17 @@ def fold_of(name: str, folds: int) -> Column:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def bucketed(df: DataFrame, column: str, name: str) -> DataFrame:
+    """``df`` written once to the shared folder in buckets by ``column``.
+
+    A later grouping or join by that column reads the buckets without a
+    shuffle.  There are as many buckets as shuffle partitions.
+    """
+    spark = df.sparkSession
+    path = new_folder(spark, name)
+    held = "llm_" + path.rpartition("/")[2].replace("-", "_")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, column).option("path", path).format("parquet").saveAsTable(held)
+    return spark.table(held)
