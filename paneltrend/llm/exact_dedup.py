@@ -82,6 +82,8 @@ class StreamingDedup:
             self.spark,
             {
                 "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+                # many small stores: take disk as it is written instead of ahead
+                "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
                 "spark.sql.streaming.minBatchesToRetain": "2",
                 "spark.sql.shuffle.partitions": partitions,
             },
