@@ -49,7 +49,7 @@ def connected(links: DataFrame) -> DataFrame:
         now = settled(_toward_minimum(_toward_minimum(now, large=True), large=False))
         # a fixed point is a set of stars: no root is itself linked downwards
         seen = now.agg(
-            F.count("*").alias("n"), F.sum("u").alias("u"), F.sum("v").alias("v"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+            F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("hashes")
         ).first()
         if seen["n"] == 0 or seen == mark:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paneltrend.llm import byte_bpe, chat_format, exact_dedup, mixing, url_filter
+from paneltrend.llm import byte_bpe, chat_format, exact_dedup, mixing, simhash_golay, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": url_filter.query,
     "op3_source_mixing": mixing.query,
+    "op6_simhash_golay": simhash_golay.query,
     "op7_byte_bpe": byte_bpe.query,
     "op8_exact_dedup": exact_dedup.query,
     "op9_chat_formatting": chat_format.query,
