@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paneltrend.llm import byte_bpe, chat_format, exact_dedup, mixing, simhash_golay, url_filter
+from paneltrend.llm import byte_bpe, chat_format, collision_links, exact_dedup, mixing, simhash_golay, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": url_filter.query,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_byte_bpe": byte_bpe.query,
     "op8_exact_dedup": exact_dedup.query,
     "op9_chat_formatting": chat_format.query,
+    "op10_collision_links": collision_links.query,
 }
 
 ORACLES: dict[str, str] = {
