@@ -4,11 +4,27 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once a context, wherever they run."""
+    context = spark.sparkContext
+    if getattr(context, "_paneltrend_shipped", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / "paneltrend.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._paneltrend_shipped = True
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder of the session; a temporary one only where none is set (tests)."""
     context = spark.sparkContext
@@ -41,6 +57,7 @@ def fold_of(name: str, folds: int) -> Column:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
