@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paneltrend.llm import byte_bpe, chat_format, collision_links, exact_dedup, language_id, mixing, simhash_golay, toxicity, url_filter
+from paneltrend.llm import byte_bpe, chat_format, collision_links, exact_dedup, html_main, language_id, mixing, simhash_golay, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.query,
     "op2_url_filter": url_filter.query,
     "op3_source_mixing": mixing.query,
+    "op4_html_main": html_main.query,
     "op5_toxicity": toxicity.query,
     "op6_simhash_golay": simhash_golay.query,
     "op7_byte_bpe": byte_bpe.query,
