@@ -1,16 +1,16 @@
 """Byte-level BPE by a global shuffle of distinct words.
 
 Texts are cut into pre-tokens once.  Each chunk of a task's texts leaves two
-kinds of rows: its distinct words with their places in the chunk's word list,
-and per document the word numbers in order.  The words of all chunks are
-shuffled together by word, every distinct word is encoded once, and its ids go
-back to the chunks that have it, where the documents are reassembled by
-position.  Both kinds are bucketed by chunk, so the documents never move.
+kinds of rows: per document the numbers of its words in order of position, and
+the chunk's distinct words, dealt into buckets by their hash and packed.  The
+buckets of all chunks are shuffled together, every distinct word is encoded
+once in its bucket, and its ids go back to the chunks that have it, where the
+documents are reassembled by position.  The pieces are bucketed by chunk, so
+the documents never move.
 
-Decoding explodes the ids with their positions, joins the token-byte table (a
-fixed vocabulary, hence broadcast) and puts the bytes of each row together in
-the order in which they come; an order that is not that of the positions and
-an id without bytes both fail the job.
+Decoding joins each row's ids with the token-byte table.  The table is a fixed
+vocabulary, so every task holds it and joins a whole row of ids at once; an id
+that is not in it fails the job instead of losing bytes.
 
 A chunk is closed after ``CHUNK_TOKENS`` pre-tokens, so a group holds a chunk
 and not a source or a hot word; a hot word is one row per chunk.  A single
@@ -28,9 +28,10 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterator
+from itertools import chain
+from zlib import crc32
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import regex
@@ -40,10 +41,11 @@ from pyspark.sql import functions as F
 
 from paneltrend.llm.common import bucketed, table, whole_text
 
-CHUNK_TOKENS = 1_500_000
-#: Encoded words that a task holds before it sends them to their chunks.
-SEND_WORDS = 1_000_000
-PIECES = "chunk long, doc_id long, places binary, word binary, k int"
+CHUNK_TOKENS = 3_000_000
+#: Buckets of words for each shuffle partition; a bucket's distinct words are held in memory.
+BUCKETS_PER_PARTITION = 2
+PIECES = "chunk long, doc_id long, places binary, bucket int, steps binary, sizes binary, words binary"
+ENCODED = "part long, steps binary, sizes binary, ids binary"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -90,103 +92,94 @@ def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 def _pack(numbers: np.ndarray) -> bytes:
     """Unsigned 32-bit numbers, byte planes apart, compressed."""
     planes = np.ascontiguousarray(numbers, "<u4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+    return _squeeze(planes.tobytes())
+
+
+def _squeeze(content: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(content)
+
+
+def _expand(packed: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(packed)
 
 
 def _unpack(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(4, -1)
+    planes = np.frombuffer(_expand(packed), np.uint8).reshape(4, -1)
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
-def _cut(batches: Iterator[pa.RecordBatch], pattern: str) -> Iterator[pa.RecordBatch]:
-    """Chunks of pre-tokens: their distinct words, and each document's word numbers."""
+def _cut(batches: Iterator[pa.RecordBatch], pattern: str, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Chunks of pre-tokens: each document's word numbers, and their distinct words by bucket."""
     from pyspark import TaskContext
 
     find = regex.compile(pattern).findall
-    context = TaskContext.get()
-    chunk = context.partitionId() << 32
+    chunk = TaskContext.get().partitionId() << 32
     words: dict[str, int] = {}
     ids: list[int | None] = []
     places: list[bytes] = []
     held = 0
 
+    def piece(n: int, **columns: list) -> pa.RecordBatch:
+        kinds = {"chunk": pa.int64(), "doc_id": pa.int64(), "bucket": pa.int32()}
+        columns["chunk"] = [chunk] * n
+        names = [c.split()[0] for c in PIECES.split(", ")]
+        return pa.record_batch({c: pa.array(columns.get(c, [None] * n), kinds.get(c, pa.binary())) for c in names})
+
     def close() -> Iterator[pa.RecordBatch]:
         nonlocal chunk, words, ids, places, held
-        n, m = len(ids), len(words)
-        if n:
-            yield pa.record_batch(
-                {
-                    "chunk": pa.array(np.full(n, chunk)),
-                    "doc_id": pa.array(ids, pa.int64()),
-                    "places": pa.array(places, pa.binary()),
-                    "word": pa.nulls(n, pa.binary()),
-                    "k": pa.nulls(n, pa.int32()),
-                }
-            )
-        if m:
-            yield pa.record_batch(
-                {
-                    "chunk": pa.array(np.full(m, chunk)),
-                    "doc_id": pa.nulls(m, pa.int64()),
-                    "places": pa.nulls(m, pa.binary()),
-                    "word": pa.array([w.encode() for w in words], pa.binary()),
-                    "k": pa.array(np.arange(m, dtype=np.int32)),
-                }
-            )
+        if ids:
+            yield piece(len(ids), doc_id=ids, places=places)
+        if words:
+            texts = [w.encode() for w in words]
+            bucket = np.fromiter(map(crc32, texts), np.int64, len(texts)) % buckets
+            order = np.argsort(bucket, kind="stable")
+            rows = []
+            for at in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+                own = [texts[i] for i in at]
+                # numbers rise within a bucket: their differences are small
+                steps, sizes = _pack(np.diff(at, prepend=0)), _pack([len(w) for w in own])
+                rows.append((int(bucket[at[0]]), steps, sizes, _squeeze(b"".join(own))))
+            yield piece(len(rows), **dict(zip(("bucket", "steps", "sizes", "words"), map(list, zip(*rows)))))
         chunk, words, ids, places, held = chunk + 1, {}, [], [], 0
 
     for batch in batches:
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             found = find(text.as_py())
-            numbers = np.fromiter((words.setdefault(w, len(words)) for w in found), np.uint32, len(found))
             ids.append(doc_id)
-            places.append(_pack(numbers))
+            places.append(_pack(np.fromiter((words.setdefault(w, len(words)) for w in found), np.uint32, len(found))))
             held += len(found)
             if held >= CHUNK_TOKENS:
                 yield from close()
     yield from close()
 
 
-def _encode_runs(batches: Iterator[pa.RecordBatch], ranks: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by word in, one row per chunk out: the numbers of its words and their ids.
-
-    Equal words are neighbours, so each is encoded once.
-    """
-    chunks: list[np.ndarray] = []
-    numbers: list[np.ndarray] = []
-    ids: list[list[int]] = []
-    word, of_word = None, []
-
-    def send() -> Iterator[pa.RecordBatch]:
-        chunk, k = np.concatenate(chunks), np.concatenate(numbers)
-        order = np.lexsort((k, chunk))
-        chunk, k = chunk[order], k[order]
-        cuts = [0, *(np.flatnonzero(np.diff(chunk)) + 1), len(chunk)]
-        rows = []
-        for a, b in zip(cuts, cuts[1:]):
-            parts = [ids[i] for i in order[a:b]]
-            flat = [i for part in parts for i in part]
-            rows.append((chunk[a], _pack(np.diff(k[a:b], prepend=0)), _pack([len(x) for x in parts]), _pack(flat)))
-        columns = list(zip(*rows))
-        yield pa.record_batch(
-            {
-                "part": pa.array(columns[0], pa.int64()),
-                **{n: pa.array(c, pa.binary()) for n, c in zip(("steps", "sizes", "ids"), columns[1:])},
-            }
-        )
-        chunks.clear(), numbers.clear(), ids.clear()
-
+def _encode_buckets(batches: Iterator[pa.RecordBatch], ranks: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by bucket in, for each the ids of its words out; a bucket's words are encoded once."""
+    bucket, known = None, {}
     for batch in batches:
-        chunks.append(batch.column("chunk").to_numpy())
-        numbers.append(batch.column("k").to_numpy().astype(np.int64))
-        for w in batch.column("word").to_pylist():
-            if w != word:
-                word, of_word = w, merge(w, ranks)
-            ids.append(of_word)
-        if len(ids) >= SEND_WORDS:
-            yield from send()
-    if ids:
-        yield from send()
+        out = []
+        for row in batch.to_pylist():
+            if row["bucket"] != bucket:
+                bucket, known = row["bucket"], {}
+            ends = np.cumsum(_unpack(row["sizes"]), dtype=np.int64).tolist()
+            whole = _expand(row["words"])
+            ids = []
+            for a, b in zip([0, *ends], ends):
+                word = whole[a:b]
+                found = known.get(word)
+                if found is None:
+                    found = known[word] = merge(word, ranks)
+                ids.append(found)
+            flat = np.fromiter(chain.from_iterable(ids), np.uint32)
+            out.append((row["chunk"], row["steps"], _pack([len(i) for i in ids]), _pack(flat)))
+        if out:
+            columns = list(zip(*out))
+            yield pa.record_batch(
+                {
+                    "part": pa.array(columns[0], pa.int64()),
+                    **{n: pa.array(c, pa.binary()) for n, c in zip(("steps", "sizes", "ids"), columns[1:])},
+                }
+            )
 
 
 def _assemble(docs: pa.Table, words: pa.Table) -> pa.Table:
@@ -201,7 +194,7 @@ def _assemble(docs: pa.Table, words: pa.Table) -> pa.Table:
     start = np.cumsum(size) - size
     order = np.argsort(number)
     size, start = size[order], start[order]
-    values, lengths = [], []
+    values, lengths = [np.empty(0, np.int32)], []
     for places in docs.column("places").to_pylist():
         at = _unpack(places)
         n = size[at]
@@ -209,12 +202,13 @@ def _assemble(docs: pa.Table, words: pa.Table) -> pa.Table:
         # place of each id: its word's start and its place within the word
         values.append(ids[np.arange(n.sum()) + np.repeat(start[at] - ends + n, n)].astype(np.int32))
         lengths.append(len(values[-1]))
+    digests = [hashlib.sha256(v.astype("<u4").tobytes()).hexdigest() for v in values[1:]]
     offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
     return pa.table(
         {
             "doc_id": docs.column("doc_id"),
             "n_tokens": pa.array(lengths, pa.int64()),
-            "ids_sha256": pa.array([hashlib.sha256(v.astype("<u4").tobytes()).hexdigest() for v in values], pa.string()),
+            "ids_sha256": pa.array(digests, pa.string()),
             "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values), pa.int32())),
         }
     )
@@ -228,17 +222,18 @@ def encode(
     text_column: str = "text",
 ) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, ids`` of every row; the digest is of little-endian unsigned 32-bit ids."""
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)  # a fixed vocabulary of about 1 MB
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(ranks)  # a fixed vocabulary of about 1 MB
+    buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), whole_text(text_column).alias("text"))
-    pieces = bucketed(source.mapInArrow(lambda batches: _cut(batches, pattern), PIECES), "chunk", "bpe-pieces")
+    cut = source.mapInArrow(lambda batches: _cut(batches, pattern, buckets), PIECES)
+    pieces = bucketed(cut, "chunk", "bpe-pieces")
     words = (
-        pieces.filter(F.col("word").isNotNull())
-        .select("word", "chunk", "k")
-        .repartition("word")
-        .sortWithinPartitions("word")
-        .mapInArrow(
-            lambda batches: _encode_runs(batches, shared.value), "part long, steps binary, sizes binary, ids binary"
-        )
+        pieces.filter(F.col("bucket").isNotNull())
+        .select("chunk", "bucket", "steps", "sizes", "words")
+        .repartition("bucket")
+        .sortWithinPartitions("bucket")
+        .mapInArrow(lambda batches: _encode_buckets(batches, shared.value), ENCODED)
     )
     rows = pieces.filter(F.col("places").isNotNull()).select("chunk", "doc_id", "places")
     return (
@@ -248,79 +243,52 @@ def encode(
     )
 
 
-def token_bytes(spark: SparkSession, ranks: dict[bytes, int]) -> DataFrame:
-    """The token-byte table: ``id, bytes``."""
-    rows = pd.DataFrame({"id": list(ranks.values()), "bytes": list(ranks)})
-    return spark.createDataFrame(rows, "id int, bytes binary")
-
+class TokenBytes:
+    """The token-byte table by id: all bytes in one array, with the start and the length of each id's."""
 
-def _put_together(batches: Iterator[pa.RecordBatch], digest: bool) -> Iterator[pa.RecordBatch]:
-    """Tokens in order in, one row per text out: its bytes or their digest."""
-    head, whole, at = None, None, 0
+    def __init__(self, ranks: dict[bytes, int]):
+        top = max(ranks.values(), default=-1) + 1
+        words = [b""] * top
+        self.known = np.zeros(top, bool)
+        for word, i in ranks.items():
+            words[i], self.known[i] = word, True
+        self.sizes = np.array([len(w) for w in words], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.content = np.frombuffer(b"".join(words), np.uint8)
 
-    def fresh():
-        return hashlib.sha256() if digest else bytearray()
-
-    for batch in batches:
-        place, data, heads = (batch.column(i) for i in range(3))
-        missing = place.is_null().to_numpy(zero_copy_only=False)
-        places = place.fill_null(0).to_numpy()
-        if (data.is_null().to_numpy(zero_copy_only=False) & ~missing).any():
+    def join(self, ids: np.ndarray) -> bytes:
+        """The bytes of a row of ids, in their order."""
+        if len(ids) and not (0 <= ids.min() and ids.max() < len(self.known) and self.known[ids].all()):
             raise ValueError("an id is not in the token-byte table")
-        starts = np.flatnonzero(places == 0)
-        n = len(places)
-        first = np.zeros(n, np.int64)
-        first[starts] = starts
-        run = np.maximum.accumulate(first)
-        run[: starts[0] if len(starts) else n] = -at
-        if (places != np.arange(n) - run).any():
-            raise ValueError("tokens are out of order")
-        ends = np.frombuffer(data.buffers()[1], np.int32)[data.offset : data.offset + n + 1]
-        content = memoryview(data.buffers()[2] or b"")
-        done_heads, done = [], []
-        cuts = [0, *starts.tolist(), n]
-        for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
-            if i:
-                if whole is not None:
-                    done_heads.append(head)
-                    done.append(whole.hexdigest() if digest else bytes(whole))
-                head, whole = heads[a], fresh()
-            if b > a:
-                (whole.update if digest else whole.extend)(content[ends[a] : ends[b]])
-        at = int(places[-1]) + 1 if n else at
-        if done:
-            yield _rows(done_heads, done, heads.type, digest)
-    if whole is not None:
-        yield _rows([head], [whole.hexdigest() if digest else bytes(whole)], head.type, digest)
-
-
-def _rows(heads: list, done: list, kind: pa.DataType, digest: bool) -> pa.RecordBatch:
-    fields = pa.array([x.as_py() for x in heads], kind).flatten()
-    names = [f.name for f in kind]
-    return pa.RecordBatch.from_arrays(
-        [*fields, pa.array(done, pa.string() if digest else pa.binary())],
-        [*names, "decoded_sha256" if digest else "decoded"],
-    )
+        n = self.sizes[ids]
+        ends = np.cumsum(n)
+        at = np.arange(n.sum()) + np.repeat(self.starts[ids] - ends + n, n)
+        return self.content[at].tobytes()
 
 
-def decode(encoded: DataFrame, tokens: DataFrame, ids: str = "ids", digest: bool = False) -> DataFrame:
+def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids", digest: bool = False) -> DataFrame:
     """The rows without their ids, with ``decoded`` (or ``decoded_sha256``): the bytes the ids stand for.
 
     Null and empty ids decode to no bytes.
     """
+    shared = encoded.sparkSession.sparkContext.broadcast(TokenBytes(ranks))  # a fixed vocabulary of about 1 MB
     kept = [c for c in encoded.columns if c != ids]
-    head = F.when(F.coalesce(F.col("_at"), F.lit(0)) == 0, F.struct(F.lit(1).alias("_one"), *kept))
-    joined = (
-        encoded.select(*kept, F.posexplode_outer(ids).alias("_at", "_id"))
-        .join(F.broadcast(tokens.select(F.col("id").alias("_id"), "bytes")), "_id", "left")
-        .select("_at", "bytes", head.alias("_head"))
-    )
-    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema if f.name != ids)
-    shape = ", ".join(x for x in ("_one int", shape, "decoded_sha256 string" if digest else "decoded binary") if x)
-    return joined.mapInArrow(lambda batches: _put_together(batches, digest), shape).drop("_one")
+    name, kind = ("decoded_sha256", pa.string()) if digest else ("decoded", pa.binary())
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = shared.value
+        for batch in batches:
+            out = []
+            for row in batch.column(batch.num_columns - 1):
+                found = tokens.join(np.zeros(0, np.int64) if row.values is None else row.values.to_numpy().astype(np.int64))
+                out.append(hashlib.sha256(found).hexdigest() if digest else found)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, kind)], [*kept, name])
+
+    shape = [f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema if f.name != ids]
+    return encoded.select(*kept, ids).mapInArrow(joined, ", ".join([*shape, f"{name} {'string' if digest else 'binary'}"]))
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
     ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     encoded = encode(table(spark, folder, "documents"), ranks)
-    return decode(encoded, token_bytes(spark, ranks), digest=True)
+    return decode(encoded, ranks, digest=True)
