@@ -266,8 +266,10 @@ class TokenBytes:
         return self.content[at].tobytes()
 
 
-def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids", digest: bool = False) -> DataFrame:
-    """The rows without their ids, with ``decoded`` (or ``decoded_sha256``): the bytes the ids stand for.
+def decode(
+    encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids", digest: bool = False, keep_ids: bool = False
+) -> DataFrame:
+    """The rows (without their ids unless ``keep_ids``) with ``decoded`` (or ``decoded_sha256``): the bytes the ids stand for.
 
     Null and empty ids decode to no bytes.
     """
@@ -282,10 +284,12 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids", digest
             for row in batch.column(batch.num_columns - 1):
                 found = tokens.join(np.zeros(0, np.int64) if row.values is None else row.values.to_numpy().astype(np.int64))
                 out.append(hashlib.sha256(found).hexdigest() if digest else found)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, kind)], [*kept, name])
+            columns = batch.columns if keep_ids else batch.columns[:-1]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(out, kind)], [*batch.schema.names[: len(columns)], name])
 
-    shape = [f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema if f.name != ids]
-    return encoded.select(*kept, ids).mapInArrow(joined, ", ".join([*shape, f"{name} {'string' if digest else 'binary'}"]))
+    rows = encoded.select(*kept, ids)
+    shape = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if keep_ids or f.name != ids]
+    return rows.mapInArrow(joined, ", ".join([*shape, f"{name} {'string' if digest else 'binary'}"]))
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
