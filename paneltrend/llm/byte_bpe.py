@@ -274,8 +274,8 @@ def decode(
     Null and empty ids decode to no bytes.
     """
     shared = encoded.sparkSession.sparkContext.broadcast(TokenBytes(ranks))  # a fixed vocabulary of about 1 MB
-    kept = [c for c in encoded.columns if c != ids]
     name, kind = ("decoded_sha256", pa.string()) if digest else ("decoded", pa.binary())
+    kept = [c for c in encoded.columns if c not in (ids, name)]
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = shared.value

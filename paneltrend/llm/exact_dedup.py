@@ -162,26 +162,35 @@ class StreamingDedup:
         return plain.unionByName(apart), same & (F.col("_t").isNull() | (F.col("_t") == text))
 
     def groups(self, docs: DataFrame) -> DataFrame:
-        """Each row of ``docs`` (all that were added) with ``_digest``, ``_keep`` and ``_size``."""
+        """Identifier and text of each row of ``docs`` (all that were added) with ``_digest``, ``_keep`` and ``_size``."""
+        docs = docs.select(self.id, self.text)
         held, same = self._held(docs)
         return docs.withColumn("_digest", self.digest(whole_text(self.text))).join(held, same)
 
     def kept(self, docs: DataFrame) -> DataFrame:
-        """The rows that stay.  Joined by identifier too, so copies spread over the tasks."""
-        held, same = self._held(docs)
-        rows = docs.withColumn("_digest", self.digest(whole_text(self.text)))
+        """The rows that stay, one of each identifier and text.
+
+        Joined by identifier too, so copies spread over the tasks.
+        """
+        held, same = self._held(docs.select(self.id, self.text))
+        text = whole_text(self.text)
+        rows = docs.select(
+            self.digest(text).alias("_digest"),
+            F.col(self.id).cast("long").alias("_id"),
+            text.alias(self.text),
+            F.struct(*docs.columns).alias("_row"),
+        )
         return (
-            rows.join(held, same & F.col(self.id).cast("long").eqNullSafe(F.col("_keep")))
-            .dropDuplicates(["_digest", self.id, self.text])
-            .select(docs.columns)
+            rows.join(held, same & F.col("_id").eqNullSafe(F.col("_keep")))
+            .dropDuplicates(["_digest", "_id", self.text])
+            .select("_row.*")
         )
 
 
 def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id, keep_id, group_size, kept, text_sha256`` for every row, dropped ones too."""
     dedup = StreamingDedup(docs.sparkSession, None, id_column, text_column)
-    narrow = docs.select(id_column, text_column)
-    found = dedup.add(narrow).groups(narrow)
+    found = dedup.add(docs).groups(docs)
     return found.select(
         F.col(id_column),
         F.col("_keep").alias("keep_id"),

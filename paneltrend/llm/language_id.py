@@ -339,7 +339,6 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     """The documents that are accepted, with all columns; a null ``lang`` is filled in."""
     found = train(training_rows(docs))
     names = docs.columns
-    others = [F.struct(*names).alias("_row")]
-    judged = identify(docs.withColumn("_text_", F.col("text")), found, None, "_text_", others)
+    judged = identify(docs, found, None, "text", [F.struct(*names).alias("_row")])
     lang = F.coalesce("_row.lang", "lang_pred")
     return judged.filter("accepted").select(*((lang if n == "lang" else F.col(f"_row.{n}")).alias(n) for n in names))

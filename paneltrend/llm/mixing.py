@@ -181,11 +181,13 @@ def mix(
     own = ("n_tokens", "mix_weight", "epoch", "block")
     kept = [c for c in docs.columns if c not in own]
     wide = (
-        docs.select(*kept, source.alias("_s"), tokens.alias("n_tokens"))
+        docs.select(
+            F.struct(*kept).alias("_row"), source.alias("_s"), tokens.alias("n_tokens"), F.col(id_column).alias("_i")
+        )
         .join(small(plan), "_s")
-        .withColumn("_h", draw(seed, F.col("passes"), F.col(id_column)))
+        .withColumn("_h", draw(seed, F.col("passes"), F.col("_i")))
     )
-    place = F.struct(F.col("_h").alias("_h"), F.col(id_column).alias("_i"), F.col("n_tokens").alias("_t"))
+    place = F.struct(F.col("_h").alias("_h"), F.col("_i").alias("_i"), F.col("n_tokens").alias("_t"))
     one_more = F.when(
         F.col("rest") > 0,
         # no row of the block where the budget ends may fit any more
@@ -193,8 +195,10 @@ def mix(
     )
     copies = F.col("passes") + F.coalesce(one_more, F.lit(False)).cast("int")
     out = wide.withColumn("epoch", F.explode(F.when(copies > 0, F.sequence(F.lit(0), copies - 1)).otherwise(F.array().cast("array<int>"))))
-    fraction = (F.col("epoch") + draw(seed, F.col("epoch"), F.col(id_column)) / F.lit(float(1 << DRAW_BITS))) / F.col("repeats")
-    return out.withColumn("block", F.least(F.floor(fraction * BLOCKS), F.lit(BLOCKS - 1)).cast("int")).select(*kept, *own)
+    fraction = (F.col("epoch") + draw(seed, F.col("epoch"), F.col("_i")) / F.lit(float(1 << DRAW_BITS))) / F.col("repeats")
+    return out.withColumn("block", F.least(F.floor(fraction * BLOCKS), F.lit(BLOCKS - 1)).cast("int")).select(
+        *(F.col("_row").getField(c).alias(c) for c in kept), *own
+    )
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

@@ -361,5 +361,5 @@ def similar_components(
 
 def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """The documents without those that another one of their component, with a smaller id, stands for."""
-    gone = similar_components(docs, words, similarity).filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone.distinct(), F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = similar_components(docs, words, similarity).filter("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["doc_id"], "left_anti")

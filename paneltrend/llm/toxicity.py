@@ -3,7 +3,9 @@
 The lexicon is learned: words whose share among toxic documents is far above
 that among the others, counted by the different contexts (the word before and
 the word after) in which they occur, so copies of one toxic text don't make
-its words terms.  The terms form a trie; the Levenshtein automaton of
+its words terms.  A term may also be a stem, which stands for all words that
+begin with it, if it is as telling with at least ``STEM_WORDS`` of them.  The
+terms form a trie; the Levenshtein automaton of
 each term (one edit from 4 letters on, two from 8) is intersected with the
 trie by carrying sets of (trie node, edits spent) and made deterministic as
 words are read, so a word is judged in one step a character and mostly
@@ -47,11 +49,13 @@ LEAST_DOCUMENTS, LEAST_SHARE = 4, 0.005
 CERTAIN, LEAST_ODDS = 3.5, 2.0
 #: Words on either side of a hit that are its context.
 WINDOW = 4
-#: Edits allowed by a term's length.
+#: Lengths of stems, and the words that a stem must be found with.
+STEMS, STEM_WORDS = (4, 5, 6), 3
+#: Edits allowed by a term's length; stems allow none.
 ONE_EDIT, TWO_EDITS = 4, 8
-#: Words and automaton states that a task remembers.
-REMEMBERED = 300_000
-SLICE = 2_000_000
+#: Words that a task remembers, and entries of automaton states.
+REMEMBERED, STATE_ENTRIES = 100_000, 300_000
+SLICE = 1_000_000
 THRESHOLD = 0.3
 
 _WORD = re.compile(r"[^\W_]+")
@@ -74,18 +78,18 @@ def slices_of(text: str) -> Iterator[str]:
 
 
 class FuzzyLexicon:
-    """Levenshtein automata of all terms at once, over the trie of the terms."""
+    """Levenshtein automata of all terms at once, over the trie of the terms; stems end in ``*``."""
 
     def __init__(self, terms: list[str]):
         self.terms = terms
         self.children: list[dict[str, int]] = [{}]
         self.term_at: list[int] = [-1]
         self.budget: list[int] = [0]
-        self.letters = {c for t in terms for c in t}
+        self.letters = {c for t in terms for c in t.rstrip("*")}
         for i, term in enumerate(terms):
             edits, node = self.edits_of(term), 0
             self.budget[0] = max(self.budget[0], edits)
-            for c in term:
+            for c in term.rstrip("*"):
                 if c not in self.children[node]:
                     self.children[node][c] = len(self.children)
                     self.children.append({})
@@ -98,13 +102,15 @@ class FuzzyLexicon:
 
     @staticmethod
     def edits_of(term: str) -> int:
-        return (len(term) >= ONE_EDIT) + (len(term) >= TWO_EDITS)
+        return 0 if term.endswith("*") else (len(term) >= ONE_EDIT) + (len(term) >= TWO_EDITS)
 
     def _reset(self) -> None:
         self.states: dict[frozenset, int] = {frozenset(): 0}
         self.items: list[dict[int, int]] = [{}]
         self.steps: list[dict[str, int]] = [{}]
         self.accepted: list[tuple[int, int] | None] = [None]
+        self.stem: list[int] = [-1]
+        self.entries = 0
         self.start = self._state({0: 0})
 
     def _state(self, items: dict[int, int]) -> int:
@@ -122,12 +128,15 @@ class FuzzyLexicon:
             self.states[key] = len(self.items)
             self.items.append(items)
             self.steps.append({})
+            self.entries += len(items)
             hits = [
                 (e, -len(self.terms[t]), t)
                 for n, e in items.items()
                 if (t := self.term_at[n]) >= 0 and e <= self.edits_of(self.terms[t])
             ]
-            self.accepted.append((min(hits)[2], min(hits)[0]) if hits else None)
+            words = [h for h in hits if not self.terms[h[2]].endswith("*")]
+            self.accepted.append((min(words)[2], min(words)[0]) if words else None)
+            self.stem.append(min((h[2] for h in hits if self.terms[h[2]].endswith("*")), default=-1))
         return self.states[key]
 
     def _step(self, state: int, c: str) -> int:
@@ -144,10 +153,10 @@ class FuzzyLexicon:
         return self._state(items)
 
     def match(self, word: str) -> tuple[int, int] | None:
-        """The nearest term within its edits, and the edits; the longer term first."""
-        if len(self.items) > REMEMBERED:
+        """The nearest term within its edits, and the edits; the longer term first, a stem before misspellings."""
+        if self.entries > STATE_ENTRIES:
             self._reset()
-        state, steps = self.start, self.steps
+        state, steps, stem = self.start, self.steps, -1
         for c in word:
             if c not in self.letters:
                 c = ""
@@ -155,9 +164,13 @@ class FuzzyLexicon:
             if following is None:
                 following = steps[state][c] = self._step(state, c)
             if not following:
-                return None
+                state = 0
+                break
             state = following
-        return self.accepted[state]
+            if self.stem[state] >= 0:
+                stem = self.stem[state]
+        found = self.accepted[state]
+        return (stem, 0) if stem >= 0 and (found is None or found[1]) else found
 
 
 # --- features -----------------------------------------------------------------------------
@@ -271,15 +284,19 @@ def tallied(sample: DataFrame, keys_of) -> DataFrame:
 
 
 def _words(text: str) -> set[str]:
-    return {w for part in slices_of(text) for w in _WORD.findall(part.lower()) if len(w) >= 3}
+    words = {w for part in slices_of(text) for w in _WORD.findall(part.lower()) if len(w) >= 3}
+    return words | {f"{w[:k]}*" for w in words for k in STEMS if len(w) > k}
 
 
 def _contexts(text: str, words: frozenset[str]) -> set[str]:
-    """Occurrences of ``words`` with the words before and after."""
+    """Occurrences of words and stems: which, the word itself, and the words before and after."""
     out = set()
     for part in slices_of(text):
         found = ["", *_WORD.findall(part.lower()), ""]
-        out.update(f"{w} {a} {b}" for a, w, b in zip(found, found[1:], found[2:]) if w in words)
+        for a, w, b in zip(found, found[1:], found[2:]):
+            for term in (w, *(f"{w[:k]}*" for k in STEMS if len(w) > k)):
+                if term in words:
+                    out.add(f"{term} {w} {a} {b}")
     return out
 
 
@@ -315,12 +332,26 @@ def learn(docs: DataFrame, labels: DataFrame, label: Column) -> Model:
     # a word in one context counts once, whatever the number of copies
     contexts = tallied(single, lambda text: _contexts(text, candidates)).select(
         F.substring_index("word", " ", 1).alias("word"),
+        F.substring_index(F.substring_index("word", " ", 2), " ", -1).alias("itself"),
         (F.col("clean") > 0).cast("long").alias("clean"),
         ((F.col("toxic") > 0) & (F.col("clean") == 0)).cast("long").alias("toxic"),
     )
-    kinds = contexts.groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    terms = _telling(kinds, clean, toxic, MAX_TERMS).select("word", "o.odds").collect()
-    found = [(r["word"], r["odds"]) for r in terms]
+    kinds = (
+        contexts.groupBy("word")
+        .agg(
+            F.sum("clean").alias("clean"),
+            F.sum("toxic").alias("toxic"),
+            F.count_distinct(F.when(F.col("toxic") > 0, F.col("itself"))).alias("words"),
+        )
+        .filter(~F.col("word").endswith("*") | (F.col("words") >= STEM_WORDS))
+    )
+    found = []
+    for r in _telling(kinds, clean, toxic, 4 * MAX_TERMS).select("word", "o.odds").collect():
+        # the surest first; what a stem stands for needs no term of its own
+        if not any(r["word"].startswith(w[:-1]) for w, _ in found if w.endswith("*")) and len(found) < MAX_TERMS:
+            found.append((r["word"], r["odds"]))
+    stems = tuple(w[:-1] for w, _ in found if w.endswith("*"))
+    found = [(w, odds) for w, odds in found if w.endswith("*") or not w.startswith(stems)] if stems else found
     model = Model([w for w, _ in found], [(odds,) * 3 for _, odds in found])
 
     def around(text: str) -> set[str]:

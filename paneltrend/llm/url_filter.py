@@ -43,6 +43,7 @@ RULES = (
     ("com", "/de/", "block"),
 )
 MAX_BYTES = 64 << 20
+OWN = ("host", "path", "rule", "verdict")
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -163,7 +164,8 @@ def filter_urls(
     ).filter(F.col("key").isNotNull())
     shapes = [(r["labels"], r["size"]) for r in listed.select("labels", "size").distinct().collect()]
     host, path = host_and_path(F.col(url_column))
-    told = pages.withColumn("host", host).withColumn("path", path)
+    kept = [c for c in pages.columns if c not in OWN]
+    told = pages.select(F.struct(F.lit(0).alias("_"), *kept).alias("_row"), host.alias("host"), path.alias("path"))
     keys = told.select("host", "path").distinct().select(F.explode(keys_of(F.col("host"), F.col("path"), shapes)).alias("key"))
     flags = [F.lit(False).alias("allow"), F.lit(False).alias("block")]
     universe = settled(
@@ -178,8 +180,9 @@ def filter_urls(
         build_cascade(universe.select("key", F.col(v).alias("listed")), seed, max_bytes)
         for v, seed in (("block", 0), ("allow", 1000))
     ]
+    row = [F.col("_row").getField(c).alias(c) for c in kept]
     if None in cascades:
-        return _joined(told, listed, shapes, default)
+        return _joined(told, listed, shapes, default).select(*row, *OWN)
     block, allow = cascades
 
     def judged(key: Column) -> Column:
@@ -193,7 +196,7 @@ def filter_urls(
         told.withColumn("_best", F.array_max(hits))
         .withColumn("rule", F.col("_best.rule"))
         .withColumn("verdict", F.coalesce("_best.verdict", F.lit(default)))
-        .drop("_best")
+        .select(*row, *OWN)
     )
 
 
@@ -208,11 +211,9 @@ def _joined(told: DataFrame, listed: DataFrame, shapes: Sequence[tuple[int, int]
         .agg(F.max(F.struct(F.length("key"), "h", "verdict", F.col("key").alias("rule"))).alias("_best"))
     )
     return (
-        told.drop("rule", "verdict")
-        .join(best, ["host", "path"], "left")
+        told.join(best, ["host", "path"], "left")
         .withColumn("rule", F.col("_best.rule"))
         .withColumn("verdict", F.coalesce("_best.verdict", F.lit(default)))
-        .drop("_best")
     )
 
 
