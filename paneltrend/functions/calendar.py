@@ -39,9 +39,18 @@ def latest_monday(as_of: Column) -> Column:
 
 
 def utc_instant(text: Column) -> Column:
-    """Parse a timestamp text; without an explicit zone it is read as UTC."""
+    """Parse a date or timestamp text; without an explicit zone it is read as UTC.
+
+    A date alone is its midnight.  Text that is no instant gives NULL.
+    """
+    alone = text.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}\s*$")
     zoned = text.rlike(r"(Z|[+-]\d\d:?\d\d)$")
-    return F.to_timestamp(F.when(zoned, text).otherwise(F.concat(text, F.lit("Z"))))
+    whole = (
+        F.when(alone, F.concat(F.trim(text), F.lit("T00:00:00Z")))
+        .when(zoned, text)
+        .otherwise(F.concat(text, F.lit("Z")))
+    )
+    return F.try_to_timestamp(whole)
 
 
 def local_time(instant: Column, zone: str = "America/Chicago") -> Column:

@@ -5,10 +5,14 @@ from .landed import (
     INPUTS,
     Dimensions,
     conform,
+    dimension_tables,
+    latest_dimensions,
+    one_row_per_day,
     read_bundle,
     read_dimensions,
     read_panel,
     refresh_dimensions,
+    rejected_rows,
 )
 from .tpch_panels import TpchPanels
 
@@ -17,9 +21,13 @@ __all__ = [
     "INPUTS",
     "TpchPanels",
     "conform",
+    "dimension_tables",
     "export_bundle",
+    "latest_dimensions",
+    "one_row_per_day",
     "read_bundle",
     "read_dimensions",
     "read_panel",
     "refresh_dimensions",
+    "rejected_rows",
 ]

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..functions import utc_instant
 from ..operators.derive import drop_unkeyed
-from ..operators.merge import in_key_set, repeated_keys
+from ..operators.merge import in_key_set
 from .schemas import DIMENSIONS, PANELS
 
 FORMATS = ("parquet", "json", "csv", "orc")
@@ -27,6 +29,11 @@ INPUTS = {
 }
 
 
+# Columns every report must have.
+REPORT_KEYS = ("GeoID", "Date")
+CORRUPT = "_corrupt"
+
+
 @dataclass(frozen=True)
 class Dimensions:
     """The dimension tables the bundles look things up in."""
@@ -34,6 +41,7 @@ class Dimensions:
     population: DataFrame
     key_sets: DataFrame
     pretty: DataFrame
+    places: DataFrame | None = None
 
 
 def conform(df: DataFrame) -> DataFrame:
@@ -49,12 +57,50 @@ def conform(df: DataFrame) -> DataFrame:
 
 
 def read_panel(
-    spark: SparkSession, name: str, path: str, fmt: str = "parquet", **options: str
+    spark: SparkSession,
+    name: str,
+    path: str,
+    fmt: str = "parquet",
+    on_bad: str = "raise",
+    required: Sequence[str] | None = None,
+    keep: Sequence[str] = (),
+    **options: str,
 ) -> DataFrame:
-    """One named input from landed files.  Unknown names and formats are errors."""
-    if name not in PANELS:
-        raise ValueError(f"unknown dataset {name!r}; use one of {', '.join(PANELS)}")
-    return conform(_read(spark, PANELS[name], path, fmt, options))
+    """One named input from landed files.  Unknown names and formats are errors.
+
+    Whole numbers may be written ``5``, ``5.0`` or ``"5"``.  A malformed record
+    and a value that can't be typed fail the job that meets them, or with
+    ``on_bad="reject"`` leave the panel for :func:`rejected_rows`, as rows
+    without key or date always do.  A column of ``required`` (default: all of
+    the dataset) that the files lack is an error at once; JSON records may leave
+    out fields.  ``keep`` names further columns, kept as they are.
+    """
+    if on_bad not in ("raise", "reject"):
+        raise ValueError(f"on_bad must be 'raise' or 'reject', not {on_bad!r}")
+    checked, columns = _checked(spark, name, path, fmt, required, keep, options)
+    if on_bad == "raise":
+        said = F.concat(F.lit(f"{name}: "), F.col("_why"), F.lit(" in "), F.col("_record"))
+        fine = F.when(F.col("_why").isNull(), True).when(F.col("_why") == UNKEYED, False)
+        good = checked.where(fine.otherwise(F.raise_error(said).cast("boolean")))
+    else:
+        good = checked.where(F.col("_why").isNull())
+    return good.select(*columns)
+
+
+def rejected_rows(
+    spark: SparkSession,
+    name: str,
+    path: str,
+    fmt: str = "parquet",
+    required: Sequence[str] | None = None,
+    keep: Sequence[str] = (),
+    **options: str,
+) -> DataFrame:
+    """``dataset, reason, record`` of every row that :func:`read_panel` leaves out."""
+    checked, _ = _checked(spark, name, path, fmt, required, keep, options)
+    return checked.where(F.col("_why").isNotNull()).select(
+        F.lit(name).alias("dataset"), F.col("_why").alias("reason"), F.col("_record").alias("record")
+    )
 
 
 def read_bundle(
@@ -68,23 +114,29 @@ def read_bundle(
 ) -> dict[str, DataFrame]:
     """All five inputs by bundle name; ``paths`` is keyed by dataset name.
 
-    With ``check_days`` an input that reports a key twice on a day is an
-    error.  That is what bounds every per-key window by the calendar.
+    With ``check_days`` a key that an input reports twice on a day fails the
+    job that meets it; keys outside the key set don't count.  That is what
+    bounds every per-key window by the calendar.
     """
     bundle = {}
     for table, (name, to_base) in INPUTS.items():
         panel = read_panel(spark, name, paths[name], fmt, **options)
-        if check_days:
-            require_one_row_per_day(panel, name)
-        bundle[table] = in_key_set(panel, key_sets, base_set) if to_base else panel
+        if to_base:
+            panel = in_key_set(panel, key_sets, base_set)
+        bundle[table] = one_row_per_day(panel, name) if check_days else panel
     return bundle
 
 
-def require_one_row_per_day(df: DataFrame, name: str) -> None:
-    """Raise when a key has several rows on a day; reads key and date only."""
-    twice = repeated_keys(df).first()
-    if twice is not None:
-        raise ValueError(f"{name}: {twice['rows']} rows for {twice['GeoID']} on {twice['Date']}")
+def one_row_per_day(df: DataFrame, name: str) -> DataFrame:
+    """``df``, failing on use where a key has several rows on a day.
+
+    The check looks at the row before in the order of days, so it shares the
+    shuffle and the sort of the per-key windows that follow.
+    """
+    before = F.lag("Date").over(Window.partitionBy("GeoID").orderBy("Date"))
+    said = F.concat(F.lit(f"{name}: several rows for "), F.col("GeoID"), F.lit(" on "), F.col("Date").cast("string"))
+    once = F.when(F.coalesce(F.col("_before") == F.col("Date"), F.lit(False)), F.raise_error(said).cast("boolean"))
+    return df.withColumn("_before", before).where(once.otherwise(True)).drop("_before")
 
 
 def read_dimensions(
@@ -93,38 +145,167 @@ def read_dimensions(
     def read(name: str) -> DataFrame:
         return _read(spark, DIMENSIONS[name], paths[name], fmt, options)
 
-    return Dimensions(read("pop"), read("key_sets"), read("pretty"))
+    places = read("juris") if "juris" in paths else None
+    return Dimensions(read("pop"), read("key_sets"), read("pretty"), places)
 
 
-def refresh_dimensions(jurisdictions: DataFrame, folder: str) -> None:
-    """Store the place and population tables cut from an upstream place table."""
-    places = jurisdictions.select("Jurisdiction", "Region", "State", "GeoID")
-    places.write.mode("overwrite").parquet(f"{folder}/juris")
-    jurisdictions.select("GeoID", "Population").write.mode("overwrite").parquet(f"{folder}/pop")
+def dimension_tables(
+    jurisdictions: DataFrame, key_sets: DataFrame | None = None, pretty: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """The stored dimension tables, cut from an upstream place table and the given others."""
+    tables = {
+        "juris": jurisdictions.select("Jurisdiction", "Region", "State", "GeoID"),
+        "pop": jurisdictions.select("GeoID", "Population"),
+    }
+    others = {"key_sets": key_sets, "pretty": pretty}
+    return tables | {name: table for name, table in others.items() if table is not None}
 
 
-def _read(
-    spark: SparkSession, schema: str, path: str, fmt: str, options: Mapping[str, str]
+def refresh_dimensions(
+    jurisdictions: DataFrame,
+    folder: str,
+    key_sets: DataFrame | None = None,
+    pretty: DataFrame | None = None,
+) -> dict[str, str]:
+    """Store the dimension tables as one new version of ``folder``; gives their paths.
+
+    All tables are written to a version of their own first.  The version counts
+    once its last file, the list of its tables, is there, so a run that fails
+    leaves the version before in force; see :func:`latest_dimensions`.
+    """
+    tables = dimension_tables(jurisdictions, key_sets, pretty)
+    spark = jurisdictions.sparkSession
+    version = f"{folder}/version={uuid.uuid4().hex}"
+    for name, table in tables.items():
+        table.write.parquet(f"{version}/{name}")
+    listed = [(name, f"{version}/{name}") for name in tables]
+    spark.createDataFrame(listed, "name string, path string").withColumn("at", F.current_timestamp()).write.mode(
+        "append"
+    ).parquet(f"{folder}/versions")
+    return dict(listed)
+
+
+def latest_dimensions(spark: SparkSession, folder: str) -> dict[str, str]:
+    """The table paths of the newest whole version in ``folder``."""
+    newest = spark.read.parquet(f"{folder}/versions").groupBy("name").agg(F.max_by("path", "at").alias("path"))
+    return {r["name"]: r["path"] for r in newest.collect()}
+
+
+# -- typed reading --------------------------------------------------------------
+
+UNKEYED = "no key or date"
+
+
+def _checked(
+    spark: SparkSession,
+    name: str,
+    path: str,
+    fmt: str,
+    required: Sequence[str] | None,
+    keep: Sequence[str],
+    options: Mapping[str, str],
+) -> tuple[DataFrame, list[Column]]:
+    """The records typed, with ``_why`` one is bad (NULL if it is not) and the ``_record`` itself."""
+    if name not in PANELS:
+        raise ValueError(f"unknown dataset {name!r}; use one of {', '.join(PANELS)}")
+    fields = T.StructType.fromDDL(PANELS[name]).fields
+    raw = _raw(spark, [f.name for f in fields], path, fmt, keep, options)
+    wanted = [f.name for f in fields] if required is None else [*REPORT_KEYS, *required]
+    lacking = [c for c in (*wanted, *keep) if c not in raw.columns]
+    if lacking:
+        raise ValueError(f"{name}: no column {', '.join(dict.fromkeys(lacking))} in {path}")
+    if fmt in ("csv", "json"):
+        known = {f.name for f in fields} | {*keep, CORRUPT}
+        strange = [c for c in raw.columns if c not in known]
+        if strange:
+            raise ValueError(f"{name}: unknown column {', '.join(strange)} in {path}; name it in keep")
+
+    typed: list[Column] = []
+    why = F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed record")) if CORRUPT in raw.columns else F.when(F.lit(False), "")
+    for field in fields:
+        if field.name not in raw.columns:
+            continue
+        value = _value(raw, field)
+        typed.append(value.alias(field.name))
+        given = F.trim(F.col(field.name).cast("string"))
+        bad = value.isNull() & given.isNotNull() & (given != "")
+        why = why.when(bad, F.lit(f"bad {field.name}"))
+    unkeyed = F.lit(False)
+    for key in REPORT_KEYS:
+        unkeyed = unkeyed | F.col(f"_typed.{key}").isNull()
+    record = F.col(CORRUPT) if CORRUPT in raw.columns else F.lit(None).cast("string")
+    whole = F.to_json(F.struct(*[c for c in raw.columns if c != CORRUPT]))
+    checked = raw.select(
+        F.struct(*typed, *keep).alias("_typed"), F.coalesce(record, whole).alias("_record"), why.alias("_why")
+    ).withColumn("_why", F.coalesce("_why", F.when(unkeyed, F.lit(UNKEYED))))
+    names = [f.name for f in fields if f.name in raw.columns]
+    return checked, [F.col(f"_typed.{c}").alias(c) for c in (*names, *keep)]
+
+
+def _value(raw: DataFrame, field: T.StructField) -> Column:
+    """A field in its type; NULL where it can't be read."""
+    value = F.col(field.name)
+    if field.name == "Date":
+        return value.cast("date") if _is_time(raw, field.name) else value.try_cast("date")
+    if field.name == "LastUpdated":
+        return value.cast("timestamp") if _is_time(raw, field.name) else utc_instant(value)
+    if isinstance(field.dataType, T.StringType):
+        return value.cast("string")
+    if isinstance(raw.schema[field.name].dataType, T.IntegralType):
+        return value.cast(field.dataType)
+    # whole numbers arrive as 5, 5.0 or "5"
+    number = F.trim(value.cast("string")).try_cast("decimal(38,10)")
+    return F.when(number == F.floor(number), number).try_cast(field.dataType)
+
+
+def _is_time(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
+def _raw(
+    spark: SparkSession, names: Sequence[str], path: str, fmt: str, keep: Sequence[str], options: Mapping[str, str]
 ) -> DataFrame:
+    """Records as they are: text formats as strings, with malformed ones in a column of their own."""
+    _known_format(fmt)
+    reader = spark.read.options(**options)
+    if fmt == "csv":
+        # Landed CSV files put columns in their own order: names come from the header.
+        header = reader.option("header", True).csv(path).columns
+        shape = ", ".join(f"`{c}` string" for c in (*header, CORRUPT))
+        # a record is malformed by all its fields, whichever a query needs
+        return (
+            reader.option("header", True)
+            .option("enforceSchema", False)
+            .option("columnPruning", False)
+            .option("columnNameOfCorruptRecord", CORRUPT)
+            .schema(shape)
+            .csv(path)
+        )
+    if fmt == "json":
+        shape = ", ".join(f"`{c}` string" for c in dict.fromkeys((*names, *keep, CORRUPT)))
+        return reader.option("columnNameOfCorruptRecord", CORRUPT).schema(shape).json(path)
+    df = reader.format(fmt).load(path)
+    return df.select(*[c for c in df.columns if c in {*names, *keep}])
+
+
+def _known_format(fmt: str) -> None:
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {', '.join(FORMATS)}, not {fmt!r}")
+
+
+def _read(
+    spark: SparkSession, schema: str, path: str, fmt: str, options: Mapping[str, str]
+) -> DataFrame:
+    """A dimension table; malformed text fails the job."""
+    _known_format(fmt)
     reader = spark.read.options(**options)
     if fmt == "csv":
-        # Landed CSV files put columns in their own order: take names from the
-        # header, types from the schema.
-        reader = reader.option("header", True)
-        return _typed(reader.csv(path), schema)
+        return _typed(reader.option("header", True).option("mode", "FAILFAST").csv(path), schema)
     if fmt == "json":
-        return reader.schema(schema).json(path)
-    return _typed(reader.format(fmt).load(path), schema, keep_instants=True)
+        return reader.option("mode", "FAILFAST").schema(schema).json(path)
+    return _typed(reader.format(fmt).load(path), schema)
 
 
-def _typed(df: DataFrame, schema: str, keep_instants: bool = False) -> DataFrame:
-    columns = []
-    for field in T.StructType.fromDDL(schema):
-        if field.name not in df.columns:
-            continue
-        keep = keep_instants and field.name in ("Date", "LastUpdated")
-        value = F.col(field.name)
-        columns.append(value if keep else value.cast(field.dataType).alias(field.name))
-    return df.select(*columns)
+def _typed(df: DataFrame, schema: str) -> DataFrame:
+    fields = T.StructType.fromDDL(schema).fields
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields if f.name in df.columns])

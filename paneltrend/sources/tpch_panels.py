@@ -180,10 +180,9 @@ class TpchPanels:
     def hosp(self) -> DataFrame:
         """Shipped quantities by supplier nation and day.
 
-        Sums go straight to nation and day: the wide rows exist only after the
-        combine.  The suppliers of a day are counted from distinct supplier
-        and day pairs, combined before their shuffle, so neither part carries
-        more than it needs and a busy supplier weighs no more than its days.
+        Lines are read once and summed by supplier and day, combined before
+        the shuffle; suppliers of a day are then the rows that a nation's sums
+        are made of, and a busy supplier weighs no more than its days.
         """
         suppliers = self.table("supplier").select(
             F.col("s_suppkey").alias("supplier"), F.col("s_nationkey").alias("nation")
@@ -222,21 +221,15 @@ class TpchPanels:
             "VentilatorsAvailable": _count_if(neither) * 5,
             "CovidVentilatorsUsed": _sum_if(neither & ~filled, quantity),
         }
+        by_supplier = lines.groupBy("supplier", "Date").agg(*[c.alias(name) for name, c in measures.items()])
         daily = (
-            lines.join(suppliers, "supplier")
+            by_supplier.join(suppliers, "supplier")
             .groupBy("nation", "Date")
-            .agg(*[c.alias(name) for name, c in measures.items()])
-        )
-        reporting = (
-            lines.select("supplier", "Date")
-            .distinct()
-            .join(suppliers, "supplier")
-            .groupBy("nation", "Date")
-            .agg(F.count("*").alias("HospitalsReporting"))
+            .agg(F.count("*").alias("HospitalsReporting"), *[F.sum(name).alias(name) for name in measures])
         )
         places = suppliers.groupBy("nation").agg(F.count("*").alias("HospitalsTotal"))
         return self._named(
-            lookup(daily.join(reporting, ["nation", "Date"]), places, "nation").select(
+            lookup(daily, places, "nation").select(
                 "nation", "Date", "HospitalsReporting", "HospitalsTotal", *measures
             )
         )

@@ -2,18 +2,22 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from collections import Counter
 
 import pytest
 from conftest import day, rows_of
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from paneltrend.functions import local_time, utc_instant
 from paneltrend.sources import (
     export_bundle,
+    latest_dimensions,
     read_bundle,
     read_dimensions,
     read_panel,
     refresh_dimensions,
+    rejected_rows,
 )
 
 
@@ -80,7 +84,9 @@ def test_csv_panel_goes_by_header_names(spark, tmp_path):
         "Date,GeoID,BedsUsed,Jurisdiction,Region,State,HospitalsReporting\n"
         "2021-03-01,a,7,Ja,R,S,3\n2021-03-02,a,,Ja,R,S,4\n"
     )
-    df = read_panel(spark, "Hospital", str(tmp_path / "h.csv"), "csv")
+    df = read_panel(
+        spark, "Hospital", str(tmp_path / "h.csv"), "csv", required=("BedsUsed", "HospitalsReporting")
+    )
     assert rows_of(df, "Date", "BedsUsed", "HospitalsReporting") == [(day(0), 7, 3), (day(1), None, 4)]
     assert "LastUpdated" not in df.columns
 
@@ -106,10 +112,88 @@ def test_bundle_rejects_repeated_days(spark, tmp_path):
     path = landed_json(tmp_path / "twice", [report("a", "2021-03-01"), report("a", "2021-03-01T09:00:00")])
     names = ("CDT", "CDT_NewlyReported", "Hospital", "Vaccination", "VaccinationCDC")
     sets = spark.createDataFrame([("base", "a")], "set_name string, GeoID string")
-    with pytest.raises(ValueError, match="CDT: 2 rows for a on 2021-03-01"):
-        read_bundle(spark, dict.fromkeys(names, path), sets, "json")
+    bundle = read_bundle(spark, dict.fromkeys(names, path), sets, "json")
+    with pytest.raises(PySparkException, match="CDT: several rows for a on 2021-03-01"):
+        bundle["cdtData"].count()
     loose = read_bundle(spark, dict.fromkeys(names, path), sets, "json", check_days=False)
     assert loose["cdtData"].count() == 2
+    # keys outside the set don't count
+    none = spark.createDataFrame([("base", "z")], "set_name string, GeoID string")
+    assert read_bundle(spark, dict.fromkeys(names, path), none, "json")["cdtData"].count() == 0
+
+
+BAD_JSON = [
+    '{"GeoID": "a", "Date": "2021-03-01", "CasesNew": 5.0, "DeathsNew": "12", "note": "x"}',
+    '{"GeoID": "a", "Date": "2021-03-02", "CasesNew": "abc"}',
+    '{"GeoID": "a", "Date": "2021-03-03", "CasesNew": 5.5}',
+    '{"GeoID": "a", "Date": "2021-03-04", "CasesNew": 1',
+    '{"GeoID": null, "Date": "2021-03-05", "CasesNew": 1}',
+    '{"GeoID": "a", "Date": "soon", "CasesNew": 1}',
+    '{"GeoID": "a", "Date": "2021-03-06", "CasesNew": 99999999999999999999}',
+    '{"GeoID": "a", "Date": "2021-03-07", "LastUpdated": "2021-03-07"}',
+    '{"GeoID": "a", "Date": "2021-03-08", "LastUpdated": "yesterday"}',
+]
+BAD_CSV = [
+    "GeoID,Date,CasesNew,DeathsNew,note",
+    "a,2021-03-01,5.0,12,x",
+    "a,2021-03-02,abc,,",
+    "a,2021-03-03,5.5,,",
+    "a,2021-03-04,1,2,3,4,5",
+    ",2021-03-05,1,,",
+    "a,soon,1,,",
+    "a,2021-03-06,99999999999999999999,,",
+]
+
+
+@pytest.mark.parametrize("fmt", ["json", "csv"])
+def test_no_record_is_lost_silently(spark, tmp_path, fmt):
+    lines = BAD_JSON if fmt == "json" else BAD_CSV
+    (tmp_path / f"x.{fmt}").write_text("\n".join(lines) + "\n")
+    given = dict(path=str(tmp_path / f"x.{fmt}"), fmt=fmt, required=("CasesNew", "DeathsNew"), keep=("note",))
+    good = read_panel(spark, "CDT", on_bad="reject", **given)
+    first = rows_of(good, "GeoID", "Date", "CasesNew", "DeathsNew", "note")[0]
+    assert first == ("a", day(0), 5, 12, "x")
+    rejects = Counter(r["reason"] for r in rejected_rows(spark, "CDT", **given).collect())
+    want = Counter({"bad CasesNew": 3, "malformed record": 1, "no key or date": 1, "bad Date": 1})
+    if fmt == "json":
+        want["bad LastUpdated"] = 1
+    assert rejects == want
+    assert good.count() + sum(want.values()) == len(lines) - (fmt == "csv")
+    with pytest.raises(PySparkException, match="CDT: (bad|malformed)"):
+        read_panel(spark, "CDT", **given).collect()
+
+
+def test_lacking_and_unknown_columns_are_named(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("GeoID,Date,CasesNw\na,2021-03-01,1\n")
+    path = str(tmp_path / "x.csv")
+    with pytest.raises(ValueError, match="no column CasesNew"):
+        read_panel(spark, "CDT", path, "csv", required=("CasesNew",))
+    with pytest.raises(ValueError, match="unknown column CasesNw"):
+        read_panel(spark, "CDT", path, "csv", required=())
+    spark.createDataFrame([("a", day(0), 1.0)], "GeoID string, Date date, CasesNew double").write.parquet(
+        str(tmp_path / "p")
+    )
+    with pytest.raises(ValueError, match="no column .*DeathsNew"):
+        read_panel(spark, "CDT", str(tmp_path / "p"))
+    df = read_panel(spark, "CDT", str(tmp_path / "p"), required=("CasesNew",))
+    assert rows_of(df, "Date", "CasesNew") == [(day(0), 1)]
+
+
+def test_dates_alone_are_instants(spark):
+    df = spark.createDataFrame([("2021-07-01",), ("2021-07-01T00:00:00Z",), ("soon",)], "t string")
+    got = [r[0] for r in df.select(F.unix_timestamp(utc_instant(F.col("t")))).collect()]
+    assert got[0] == got[1] and got[2] is None
+
+
+def test_single_file_and_sorted_output(spark, tmp_path):
+    table = spark.range(100, numPartitions=5).select((-F.col("id")).alias("n"))
+    export_bundle({"t": table}, str(tmp_path), "csv", single_file=True, sort_by={"t": ["n"]})
+    (part,) = (tmp_path / "t").glob("part-*.csv")
+    assert [int(x) for x in part.read_text().split()[1:]] == list(range(-99, 1))
+    export_bundle({"t": table}, str(tmp_path), "parquet", sort_by={"t": ["n"]})
+    assert [r[0] for r in spark.read.parquet(str(tmp_path / "t")).collect()] == list(range(-99, 1))
+    with pytest.raises(ValueError):
+        export_bundle({"t": table}, str(tmp_path), sort_by={"u": ["n"]})
 
 
 def test_dimensions_refresh_and_read(spark, tmp_path):
@@ -117,15 +201,17 @@ def test_dimensions_refresh_and_read(spark, tmp_path):
         [("Ja", "R", "S", "a", 10, "x")],
         "Jurisdiction string, Region string, State string, GeoID string, Population int, note string",
     )
-    refresh_dimensions(upstream, str(tmp_path))
-    refresh_dimensions(upstream, str(tmp_path))
-    juris = spark.read.parquet(str(tmp_path / "juris"))
-    assert juris.columns == ["Jurisdiction", "Region", "State", "GeoID"]
-    spark.createDataFrame([("base", "a")], "set_name string, GeoID string").write.parquet(str(tmp_path / "sets"))
-    spark.createDataFrame([("A", "a", "Aa", 1)], "Site string, GeoID string, NiceName string, DisplayOrder int").write.parquet(
-        str(tmp_path / "pretty")
-    )
-    dims = read_dimensions(
-        spark, {"pop": f"{tmp_path}/pop", "key_sets": f"{tmp_path}/sets", "pretty": f"{tmp_path}/pretty"}
+    sets = spark.createDataFrame([("base", "a")], "set_name string, GeoID string")
+    pretty = spark.createDataFrame(
+        [("A", "a", "Aa", 1)], "Site string, GeoID string, NiceName string, DisplayOrder int"
     )
+    refresh_dimensions(upstream.withColumn("Population", F.lit(9)), str(tmp_path), sets, pretty)
+    paths = refresh_dimensions(upstream, str(tmp_path), sets, pretty)
+    assert latest_dimensions(spark, str(tmp_path)) == paths
+    dims = read_dimensions(spark, paths)
+    assert dims.places.columns == ["Jurisdiction", "Region", "State", "GeoID"]
     assert rows_of(dims.population, "GeoID", "Population") == [("a", 10)]
+    assert (dims.key_sets.count(), dims.pretty.count()) == (1, 1)
+    # a version that was not finished is not in force
+    upstream.write.parquet(f"{tmp_path}/version=unfinished/pop")
+    assert latest_dimensions(spark, str(tmp_path)) == paths
