@@ -21,15 +21,18 @@ class Bundle(Mapping[str, DataFrame]):
         self,
         recipes: Mapping[str, Callable[[], DataFrame]],
         shared: tuple[str, ...] = (),
+        inner: Mapping[str, Callable[[], DataFrame]] | None = None,
     ) -> None:
+        """``inner`` recipes are shared by tables, can be pinned, and are no tables themselves."""
         self._recipes = dict(recipes)
+        self._inner = dict(inner or {})
         self._built: dict[str, DataFrame] = {}
         self._kept: list[DataFrame] = []
         self.shared = shared
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
-            self._built[name] = self._recipes[name]()
+            self._built[name] = (self._inner.get(name) or self._recipes[name])()
         return self._built[name]
 
     def __iter__(self) -> Iterator[str]:
@@ -42,12 +45,17 @@ class Bundle(Mapping[str, DataFrame]):
         return name in self._recipes
 
     def pin(self, *names: str, how: str = "persist") -> "Bundle":
-        """Materialise ``names`` (default: the widely read ones) for later tables."""
+        """Materialise ``names`` (default: the widely read ones) for later tables.
+
+        Persisted tables are computed here, once, so that tables written side
+        by side find the blocks and don't compute them twice.
+        """
         for name in names or self.shared:
             table = self[name]
             if how == "persist":
                 table = table.persist(StorageLevel.MEMORY_AND_DISK)
                 self._kept.append(table)
+                table.count()
             elif how == "checkpoint":
                 use_checkpoint_folder(table.sparkSession)
                 table = table.checkpoint()
@@ -66,6 +74,7 @@ class Bundle(Mapping[str, DataFrame]):
         return Bundle(
             {f"{prefix}{name}": (lambda n=name: self[n]) for name in self},
             tuple(f"{prefix}{name}" for name in self.shared),
+            {f"{prefix}{name}": (lambda n=name: self[n]) for name in self._inner},
         )
 
     def __or__(self, other: "Bundle") -> "Bundle":
@@ -75,7 +84,8 @@ class Bundle(Mapping[str, DataFrame]):
             raise ValueError(f"tables in both bundles: {', '.join(twice)}")
         recipes = {n: (lambda n=n: self[n]) for n in self}
         recipes |= {n: (lambda n=n: other[n]) for n in other}
-        return Bundle(recipes, self.shared + other.shared)
+        inner = {n: (lambda n=n, b=b: b[n]) for b in (self, other) for n in b._inner}
+        return Bundle(recipes, self.shared + other.shared, inner)
 
 
 def use_checkpoint_folder(spark: SparkSession) -> str:

@@ -3,6 +3,7 @@
 from .compare import compare_periods, compare_wide, with_previous
 from .criteria import criteria_summary
 from .cutoffs import (
+    Calendar,
     anchor_pair,
     cut_to_lag,
     cut_to_lag_by_key,
@@ -28,7 +29,7 @@ from .derive import (
     seven_day_ratios,
     vaccination_rates,
 )
-from .drift import dimension_drift, drift_counts, has_drifted
+from .drift import dimension_drift, drift_counts, drift_report, has_drifted
 from .latest import latest_per_key
 from .merge import in_key_set, lookup, merge_panels, repeated_keys, site_bridge
 from .periods import period_table

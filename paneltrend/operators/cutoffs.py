@@ -4,6 +4,8 @@ A cutoff compares each row's date with an anchor such as the newest date of
 the table.  Anchors are scalar subqueries: Spark evaluates each one once, as a
 partial aggregate over the date column only, and hands the value to the
 filter.  No join, no window over the whole table, no driver round trip.
+Tables that share their dates can share anchors: :class:`Calendar` reads the
+dates once, and cutoffs take the anchor as ``newest``.
 """
 
 from __future__ import annotations
@@ -31,9 +33,31 @@ def newest_date_on(df: DataFrame, weekday: int, date: str = DATE) -> Column:
     return df.agg(F.max(on_day)).scalar()
 
 
-def cut_to_lag(df: DataFrame, lag: int, date: str = DATE) -> DataFrame:
+class Calendar:
+    """Anchors of all tables with the same dates, from one pass over one of them.
+
+    The pass leaves one row with the distinct dates, as many as there are
+    calendar days at most, whatever the table's size.
+    """
+
+    def __init__(self, df: DataFrame, date: str = DATE) -> None:
+        self._days = df.agg(F.collect_set(date).alias("days"))
+
+    def newest(self, lag: int = 0) -> Column:
+        """The newest date at least ``lag`` days before the newest of all, as a scalar."""
+        end = F.date_sub(F.array_max("days"), lag)
+        return self._days.select(F.array_max(F.filter("days", lambda d: d <= end))).scalar()
+
+
+def _anchor(df: DataFrame, date: str, newest: Column | None) -> Column:
+    return newest_date(df, date) if newest is None else newest
+
+
+def cut_to_lag(
+    df: DataFrame, lag: int, date: str = DATE, newest: Column | None = None
+) -> DataFrame:
     """Rows at least ``lag`` days older than the newest date of the table."""
-    return df.where(F.col(date) <= F.date_sub(newest_date(df, date), lag))
+    return df.where(F.col(date) <= F.date_sub(_anchor(df, date, newest), lag))
 
 
 def _with_newest(df: DataFrame, key: str, date: str, strategy: str) -> DataFrame:
@@ -52,16 +76,18 @@ def cut_to_lag_by_key(
 
 
 def trailing_period(
-    df: DataFrame, days: int, lag: int = 0, date: str = DATE
+    df: DataFrame, days: int, lag: int = 0, date: str = DATE, newest: Column | None = None
 ) -> DataFrame:
     """Rows of the ``days`` days up to ``lag`` days before the newest, both ends in."""
-    end = F.date_sub(newest_date(df, date), lag)
+    end = F.date_sub(_anchor(df, date, newest), lag)
     return df.where((F.col(date) <= end) & (F.col(date) >= F.date_sub(end, days)))
 
 
-def thin_to_newest_weekday(df: DataFrame, date: str = DATE) -> DataFrame:
+def thin_to_newest_weekday(
+    df: DataFrame, date: str = DATE, newest: Column | None = None
+) -> DataFrame:
     """Rows that fall on the weekday of the newest date."""
-    return df.where(F.weekday(date) == F.weekday(newest_date(df, date)))
+    return df.where(F.weekday(date) == F.weekday(_anchor(df, date, newest)))
 
 
 def thin_to_weekday(

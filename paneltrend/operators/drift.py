@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,3 +43,15 @@ def drift_counts(current: DataFrame, upstream: DataFrame) -> DataFrame:
 
 def has_drifted(current: DataFrame, upstream: DataFrame) -> bool:
     return bool(drift_counts(current, upstream).first()["drifted"])
+
+
+def drift_report(tables: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """``drift_counts`` of each named pair (current, upstream), and whether any of them drifted."""
+    if not tables:
+        raise ValueError("no tables to compare")
+    counts = [
+        drift_counts(current, upstream).select(F.lit(name).alias("dimension"), "*")
+        for name, (current, upstream) in tables.items()
+    ]
+    report = reduce(DataFrame.unionByName, counts)
+    return report.withColumn("any_drifted", report.agg(F.max("drifted")).scalar())

@@ -26,7 +26,8 @@ def change_since(
 
     A dated window is the running total on the key's newest day after the lag
     cut minus the one exactly ``days`` days earlier (NULL if that day has no
-    row).  An all-time window is the newest running total itself.
+    row).  An all-time window is the newest running total itself.  A key with
+    several rows on an anchor day has no one answer and fails the job.
 
     The whole grid is answered from one pass: the anchor dates are attached by
     windows without ordering, only rows on an anchor survive, and one
@@ -68,10 +69,12 @@ def change_since(
     def picked(point: tuple, columns: Sequence[str]):
         return F.max(F.when(is_point[point], F.struct(*columns)))
 
+    said = F.concat(F.lit("several rows on an anchor day of "), F.col(key).cast("string"))
     lined_up = (
         panel.where(wanted)
         .groupBy(key)
         .agg(
+            F.greatest(F.lit(0), *[F.count_if(is_point[p]) for p in points]).alias("_rows"),
             *[
                 picked(p, totals if p[1] else [*others, "Population", *totals]).alias(
                     _point_name(p)
@@ -79,6 +82,8 @@ def change_since(
                 for p in points
             ]
         )
+        .where(F.when(F.col("_rows") > 1, F.raise_error(said).cast("boolean")).otherwise(True))
+        .drop("_rows")
     )
 
     # One row per key and window: identity, measures now and the change in each.

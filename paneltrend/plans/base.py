@@ -93,6 +93,13 @@ def base_bundle(inputs: Mapping[str, DataFrame]) -> Bundle:
     }
     bundle = Bundle(
         recipes,
-        shared=("cdtHospData", "cdtHosp7DayRollingData", "cdtHosp14DayRollingData"),
+        shared=(
+            "cdtData",
+            "hospData",
+            "vaccCDCData",
+            "cdtHospData",
+            "cdtHosp7DayRollingData",
+            "cdtHosp14DayRollingData",
+        ),
     )
     return bundle

@@ -13,7 +13,7 @@ from ..bundle import Bundle
 from ..functions import guarded_ratio
 from ..operators.compare import compare_wide, with_previous
 from ..operators.criteria import criteria_summary
-from ..operators.cutoffs import cut_to_lag, thin_to_newest_weekday, trailing_period
+from ..operators.cutoffs import Calendar, cut_to_lag, thin_to_newest_weekday, trailing_period
 from ..operators.derive import (
     against_testing_targets,
     daily_vaccinations,
@@ -179,6 +179,17 @@ def hub_bundle(
     it long; the wide panel is shared, as ``bundle.pin()`` can use.
     """
 
+    # rolling and lags keep every row's date, so these share the panel's anchors
+    @cache
+    def calendar() -> Calendar:
+        return Calendar(base["cdtHospData"])
+
+    def cut(df: DataFrame, lag: int) -> DataFrame:
+        return cut_to_lag(df, lag, newest=calendar().newest())
+
+    def six_weeks(lag: int = 0) -> DataFrame:
+        return compared(trailing_period(weekly(), SIX_WEEKS, lag, newest=calendar().newest()))
+
     @cache
     def rated() -> DataFrame:
         return against_testing_targets(base["cdtHosp7DayRollingData"], dims.population).select(
@@ -193,17 +204,16 @@ def hub_bundle(
     @cache
     def lagged_cases() -> DataFrame:
         kpis = ("KPI_PositiveTests", "KPI_PopulationTests")
-        return cut_to_lag(
+        return cut(
             bundle["7DayRolling"].select(*IDS, *CASE_COLUMNS, *STANDARD_COLUMNS, *kpis), lag_cases
         )
 
     @cache
     def lagged_hospital() -> DataFrame:
-        return cut_to_lag(bundle["7DayRolling"].select(*IDS, *HOSPITAL_COLUMNS), lag_hospital)
+        return cut(bundle["7DayRolling"].select(*IDS, *HOSPITAL_COLUMNS), lag_hospital)
 
-    @cache
     def weekly() -> DataFrame:
-        return with_previous(base["cdtHosp7DayRollingData"], COMPARED)
+        return bundle["_weekly"]
 
     def compared(wide: DataFrame) -> DataFrame:
         return compare_wide(wide, COMPARED)
@@ -243,25 +253,25 @@ def hub_bundle(
         "7DayRolling": rated,
         "7DayRollingLag": lagged_cases,
         "7DayRollingLagHosp": lagged_hospital,
-        "7DayRollingThinLag": lambda: thin_to_newest_weekday(lagged_cases()),
-        "7DayRollingThinLagHosp": lambda: thin_to_newest_weekday(lagged_hospital()),
+        "7DayRollingThinLag": lambda: thin_to_newest_weekday(
+            lagged_cases(), newest=calendar().newest(lag_cases)
+        ),
+        "7DayRollingThinLagHosp": lambda: thin_to_newest_weekday(
+            lagged_hospital(), newest=calendar().newest(lag_hospital)
+        ),
         "7DayComparison_MostRecent": lambda: compared(latest_per_key(weekly())),
         "7DayComparison_MostRecent_Lag": lambda: compared(
-            latest_per_key(cut_to_lag(weekly(), lag_cases))
+            latest_per_key(cut(weekly(), lag_cases))
         ),
         "7DayComparison_MostRecent_HospLag": lambda: compared(
-            latest_per_key(cut_to_lag(weekly(), lag_hospital))
-        ),
-        "7DayComparison_Last6Weeks": lambda: compared(trailing_period(weekly(), SIX_WEEKS)),
-        "7DayComparison_Last6Weeks_Lag": lambda: compared(
-            trailing_period(weekly(), SIX_WEEKS, lag_cases)
-        ),
-        "7DayComparison_Last6Weeks_HospLag": lambda: compared(
-            trailing_period(weekly(), SIX_WEEKS, lag_hospital)
+            latest_per_key(cut(weekly(), lag_hospital))
         ),
+        "7DayComparison_Last6Weeks": six_weeks,
+        "7DayComparison_Last6Weeks_Lag": lambda: six_weeks(lag_cases),
+        "7DayComparison_Last6Weeks_HospLag": lambda: six_weeks(lag_hospital),
         "7DayComparison_AllTime": lambda: compared(weekly()),
-        "7DayComparison_AllTime_Lag": lambda: compared(cut_to_lag(weekly(), lag_cases)),
-        "7DayComparison_AllTime_HospLag": lambda: compared(cut_to_lag(weekly(), lag_hospital)),
+        "7DayComparison_AllTime_Lag": lambda: compared(cut(weekly(), lag_cases)),
+        "7DayComparison_AllTime_HospLag": lambda: compared(cut(weekly(), lag_hospital)),
         "TestingPage7DayRollingLag": tests,
         "TestingPage7DayRollingThinLag": lambda: thin_to_newest_weekday(tests()),
         "JurisdictionBarCharts": lambda: case_changes(
@@ -290,5 +300,6 @@ def hub_bundle(
         },
         "HelperTable": helper,
     }
-    bundle = Bundle(recipes, shared=("vacc_DailyData",))
+    inner = {"_weekly": lambda: with_previous(base["cdtHosp7DayRollingData"], COMPARED)}
+    bundle = Bundle(recipes, ("vacc_DailyData", "_weekly"), inner)
     return bundle

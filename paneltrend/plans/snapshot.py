@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..bundle import Bundle
-from ..functions import guarded_ratio, weekday_number
+from ..functions import guarded_ratio, iso_weekday, weekday_number
 from ..operators.compare import compare_wide, with_previous
 from ..operators.cutoffs import (
+    Calendar,
     cut_to_lag,
     cut_to_weekday,
     newest_date_on,
@@ -146,20 +147,29 @@ def snapshot_bundle(
     """Weekly snapshot tables over a base bundle."""
     weekday = weekday_number(cutoff_day)
 
+    # rolling keeps every row's date, so the merged panel has the anchors
+    @cache
+    def calendar() -> Calendar:
+        return Calendar(base["cdtHospData"])
+
     def weekly_points(lag: int) -> DataFrame:
-        rolled = cut_to_lag(base["cdtHosp7DayRollingData"], lag)
+        rolled = cut_to_lag(base["cdtHosp7DayRollingData"], lag, newest=calendar().newest())
         return thin_to_weekday(rolled, weekday, lag).where(F.col("GeoID").isin(*places.series))
 
-    @cache
     def cases() -> DataFrame:
+        return bundle["WDS_7DayRollingLag"]
+
+    def hospital() -> DataFrame:
+        return bundle["WDS_7DayRollingLagHosp"]
+
+    def weekly_cases() -> DataFrame:
         positivity = guarded_ratio(F.col("CasesNew7DayTotal"), F.col("TestsNew7DayTotal"))
         rated = seven_day_ratios(weekly_points(lag_cases), "Rate").withColumn(
             "TestsPositive7DayRate", positivity
         )
         return rated.select(*IDS, *CASE_COLUMNS)
 
-    @cache
-    def hospital() -> DataFrame:
+    def weekly_hospital() -> DataFrame:
         known = override_by_key(
             weekly_points(lag_hospital), "HospitalsTotal7DayTotal", places.hospital_totals
         )
@@ -191,13 +201,23 @@ def snapshot_bundle(
 
     @cache
     def range_ends() -> DataFrame:
-        """One row: the oldest comparison date of case and of hospital measures."""
-        about_hospital = F.col("Measure").startswith("Covid")
-        return sliced().agg(
-            F.min(F.when(~about_hospital, F.col("Date"))).alias("cases"),
-            F.min(F.when(about_hospital, F.col("Date"))).alias("hospital"),
+        """One row: the comparison date of case and of hospital measures.
+
+        Rolling, lags and long form keep every row's date, so the dates of the
+        merged panel are enough: the newest one of the focus key up to the
+        newest cutoff weekday less the lag, for both lengths alike.  They are
+        read in one pass, with at most a calendar of dates of the one key.
+        """
+        dates = base["cdtHospData"].agg(
+            F.max(F.when(iso_weekday(F.col("Date")) == weekday, F.col("Date"))).alias("cut"),
+            F.collect_set(F.when(F.col("GeoID") == places.focus, F.col("Date"))).alias("days"),
         )
 
+        def newest(lag: int) -> Column:
+            return F.array_max(F.filter("days", lambda d: d <= F.date_sub("cut", lag)))
+
+        return dates.select(newest(lag_cases).alias("cases"), newest(lag_hospital).alias("hospital"))
+
     def report_cutoff(cases_end: Column) -> Column:
         return F.date_add(cases_end, lag_cases)
 
@@ -221,11 +241,11 @@ def snapshot_bundle(
         return on_date_or_newest(base["vaccData"], cutoff, places.series)
 
     recipes = {
-        "WDS_7DayRollingLag": cases,
+        "WDS_7DayRollingLag": weekly_cases,
         "WDS_Last7Days": lambda: latest_per_key(cases()).where(
             F.col("GeoID").isin(*places.headline)
         ),
-        "WDS_7DayRollingLagHosp": hospital,
+        "WDS_7DayRollingLagHosp": weekly_hospital,
         "WDS_WeeklyComparison": lambda: last_weeks(cases(), WEEKLY_CASES).unionByName(
             last_weeks(hospital(), WEEKLY_HOSPITAL)
         ),
@@ -234,5 +254,6 @@ def snapshot_bundle(
         "WDS_HospitalDailyData": lambda: cut_to_weekday(base["hospData"], weekday, lag_hospital),
         "WDS_RegionVacc": regional_vaccinations,
     }
-    return Bundle(recipes)
+    bundle = Bundle(recipes, ("WDS_7DayRollingLag", "WDS_7DayRollingLagHosp"))
+    return bundle
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from paneltrend.functions import WEEKDAYS, shifted_weekday, weekday_number
 from paneltrend.operators import (
+    Calendar,
     anchor_pair,
     cut_to_lag,
     cut_to_lag_by_key,
@@ -111,3 +112,15 @@ def test_latest_keeps_ties(make_panel, strategy):
 def test_newest_date_is_a_scalar(spark, fortnight):
     got = spark.range(1).select(newest_date(fortnight).alias("d")).first()
     assert got["d"] == day(13)
+
+
+def test_shared_anchors_equal_own_ones(make_panel):
+    gappy = make_panel([("a", d, d) for d in (0, 1, 5, 9, 16, 17, 30)] + [("b", None, 1)], ["n"])
+    days = Calendar(gappy)
+    for lag in (0, 2, 14, 40):
+        cut = cut_to_lag(gappy, lag)
+        assert dates(cut_to_lag(gappy, lag, newest=days.newest())) == dates(cut)
+        assert dates(trailing_period(gappy, 9, lag, newest=days.newest())) == dates(trailing_period(gappy, 9, lag))
+        thin = thin_to_newest_weekday(cut, newest=days.newest(lag))
+        assert dates(thin) == dates(thin_to_newest_weekday(cut))
+    assert cut_to_lag(gappy.limit(0), 2, newest=Calendar(gappy.limit(0)).newest()).count() == 0

@@ -5,6 +5,7 @@ from conftest import day, rows_of
 from paneltrend.operators import (
     dimension_drift,
     drift_counts,
+    drift_report,
     has_drifted,
     in_key_set,
     lookup,
@@ -69,3 +70,11 @@ def test_drift(spark):
     assert not has_drifted(now, fewer)
     assert rows_of(dimension_drift(now, fewer), "GeoID") == [("b",)]
     assert drift_counts(now, extra).first()["n_distinct"] == 3
+
+
+def test_drift_of_several_tables_has_one_verdict(spark):
+    a = spark.createDataFrame([("a", 1), ("b", 2)], "GeoID string, n int")
+    b = spark.createDataFrame([("a", 1), ("b", 3)], "GeoID string, n int")
+    got = rows_of(drift_report({"x": (a, a), "y": (a, b)}), "dimension", "n_current", "n_distinct", "drifted", "any_drifted")
+    assert got == [("x", 2, 2, False, True), ("y", 2, 3, True, True)]
+    assert rows_of(drift_report({"x": (a, a)}), "any_drifted") == [(False,)]

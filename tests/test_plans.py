@@ -108,3 +108,22 @@ def test_an_anchor_reads_dates_and_keys_only(spark):
     text = plan(cut_to_lag(hospital, 10), "formatted")
     schemas = re.findall(r"ReadSchema: struct<(.*?)>", text)
     assert "l_suppkey:bigint,l_shipdate:timestamp_ntz" in schemas
+
+
+def fact_scans(df) -> int:
+    schemas = re.findall(r"ReadSchema: struct<(.*?)>", plan(df, "formatted"))
+    return sum("l_shipdate" in s for s in schemas)
+
+
+@pytest.mark.parametrize("name", ["snapshot_helper", "snapshot_region_vacc"])
+def test_range_ends_come_from_dates_alone(spark, name):
+    text = plan(registered()[name](spark, SF_DIR))
+    assert "RangeFrame" not in text and "lag(" not in text
+
+
+@pytest.mark.parametrize(
+    ("name", "most"),
+    [("hospital_derive", 1), ("snapshot_helper", 1), ("snapshot_region_vacc", 3), ("hub_7day_rolling_thin_lag", 3), ("lag_cutoff_global", 2)],
+)
+def test_facts_are_scanned_no_more_than_needed(spark, name, most):
+    assert fact_scans(registered()[name](spark, SF_DIR)) <= most

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pytest
 from conftest import day, rows_of
+from pyspark.errors import PySparkException
 
 from paneltrend.operators import change_since
 from paneltrend.plans.hub import CASE_CHANGES, case_changes, case_windows, vaccination_changes
@@ -96,3 +97,13 @@ def test_vaccination_shares(make_panel):
         ("Total Per 100K", 2000.0, 1000.0, 0.01, 0.005),
     ]
     assert got.columns[-2:] == ["SlicerLevels", "filterLevels"]
+
+
+def test_two_rows_on_an_anchor_day_fail_instead_of_merging(make_panel):
+    rows = [("a", 0, 10, 1, 100, 1000), ("a", 7, 30, 2, 180, 2000), ("b", 7, 1, 1, 1, 1)]
+    twice = make_panel([*rows, ("a", 7, 31, 0, 190, 2000)], MEASURES)
+    for window in (ChangeWindow(7, 0), ChangeWindow(None)):
+        with pytest.raises(PySparkException, match="several rows on an anchor day of a"):
+            change_since(twice, CASE_CHANGES, (window,)).collect()
+    elsewhere = make_panel([*rows, ("a", 3, 1, 1, 1, 1), ("a", 3, 2, 2, 2, 2)], MEASURES)
+    assert change_since(elsewhere, CASE_CHANGES, (ChangeWindow(7, 0),)).count() > 0
