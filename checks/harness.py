@@ -34,8 +34,13 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
     return db
 
 
-def differences(result: DataFrame, db: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
-    """What differs between a Spark result and a statement (empty when equal)."""
+def differences(
+    result: DataFrame, db: duckdb.DuckDBPyConnection, sql: str, ordered: bool = False
+) -> list[str]:
+    """What differs between a Spark result and a statement (empty when equal).
+
+    With ``ordered`` the columns must also come in the same order.
+    """
     relation = db.sql(sql)
     expected_types = dict(zip(relation.columns, map(str, relation.types)))
     actual_types = {n: TYPES.get(t, t) for n, t in result.dtypes}
@@ -45,6 +50,8 @@ def differences(result: DataFrame, db: duckdb.DuckDBPyConnection, sql: str) -> l
             found.append(f"{name}: {actual_types.get(name)} against {expected_types.get(name)}")
     if found:
         return found
+    if ordered and result.columns != relation.columns:
+        return [f"columns in the order {result.columns} against {relation.columns}"]
     names = sorted(actual_types)
     actual = Counter(_key(row[n] for n in names) for row in result.select(*_quoted(names)).collect())
     order = [relation.columns.index(n) for n in names]

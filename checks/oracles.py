@@ -214,6 +214,26 @@ OPERATORS = {
     "criteria_14": s.criteria("panel_fourteen", str(AS_OF)),
     "refresh_places": PLACES_SQL,
     "refresh_population": "select * from pop",
+    "dim_drift_report": f"""
+        select *, bool_or(drifted) over () as any_drifted
+        from (select *, n_current <> n_distinct as drifted
+              from (select 'juris' as dimension, (select count(*) from juris) as n_current,
+                      (select count(*) from ({PLACES_SQL} union {UPSTREAM_SQL})) as n_distinct
+                    union all
+                    select 'pop', count(*), (select count(*) from (select distinct * from pop)) from pop
+                    union all
+                    select 'key_sets', count(*), (select count(*) from (select distinct * from key_sets))
+                    from key_sets
+                    union all
+                    select 'pretty', count(*),
+                      (select count(*) from (select * from pretty
+                       union select * replace (upper(NiceName) as NiceName) from pretty)) from pretty))""",
+    "landed_instants": """
+        select event_id, event_type as GeoID, ts::date as Date, epoch(stamp)::bigint as instant,
+          strftime(stamp at time zone 'UTC' at time zone 'America/Chicago', '%Y-%m-%d %H:%M:%S') as local
+        from (select *, case when event_id % 7 = 0 then ts::date::timestamp
+                             else date_trunc('second', ts) end as stamp from events)
+        where event_id % 11 <> 0""",
 }
 OPERATORS["centred_max_explode"] = OPERATORS["centred_max"]
 

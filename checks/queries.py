@@ -19,7 +19,8 @@ from paneltrend.plans.hub import (
     VACCINATION_CHANGES,
 )
 from paneltrend.plans.snapshot import SLICED
-from paneltrend.sources import TpchPanels
+from paneltrend.functions import local_time
+from paneltrend.sources import TpchPanels, conform, dimension_tables
 from paneltrend.specs import IDS, ChangeWindow, MeasureSpec, RollSpec
 
 AS_OF = dt.date(2001, 6, 15)
@@ -67,6 +68,26 @@ def upstream_places(p: TpchPanels) -> DataFrame:
     )
 
 
+def landed_instants(p: TpchPanels) -> DataFrame:
+    """Event times as landed text, some of them dates alone, conformed and shown in a zone."""
+    stamp = F.when(F.col("event_id") % 7 == 0, F.date_format("ts", "yyyy-MM-dd")).otherwise(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    )
+    landed = p.table("events").select(
+        "event_id",
+        F.when(F.col("event_id") % 11 != 0, F.col("event_type")).alias("GeoID"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("Date"),
+        stamp.alias("LastUpdated"),
+    )
+    return conform(landed).select(
+        "event_id",
+        "GeoID",
+        "Date",
+        F.unix_timestamp("LastUpdated").alias("instant"),
+        F.date_format(local_time(F.col("LastUpdated")), "yyyy-MM-dd HH:mm:ss").alias("local"),
+    )
+
+
 OPERATORS: Mapping[str, Query] = {
     # rolling summaries
     "rolling_7": lambda p: panel_roll(p, 7),
@@ -163,8 +184,18 @@ OPERATORS: Mapping[str, Query] = {
     ),
     "criteria_14": lambda p: ops.criteria_summary(panel_roll(p, 14), p.population, as_of=AS_OF),
     # refreshed dimension tables
-    "refresh_places": lambda p: p.jurisdictions.select("Jurisdiction", "Region", "State", "GeoID"),
-    "refresh_population": lambda p: p.population,
+    "refresh_places": lambda p: dimension_tables(p.jurisdictions)["juris"],
+    "refresh_population": lambda p: dimension_tables(p.jurisdictions)["pop"],
+    "dim_drift_report": lambda p: ops.drift_report(
+        {
+            "juris": (dimension_tables(p.jurisdictions)["juris"], upstream_places(p)),
+            "pop": (p.population, p.population.withColumn("Population", F.col("Population") + F.lit(0))),
+            "key_sets": (p.key_sets, p.key_sets.where("set_name <> 'rollup'")),
+            "pretty": (p.pretty, p.pretty.withColumn("NiceName", F.upper("NiceName"))),
+        }
+    ),
+    # landed reports
+    "landed_instants": landed_instants,
 }
 
 # Registered name of each bundle table.

@@ -1,19 +1,28 @@
 """Registered queries against DuckDB on the smallest tables.
 
-By default the operators and one table per recipe kind; ``ORACLE_ALL=1`` runs
-every registered query.
+Operators and one table per recipe kind run as they are registered; all bundle
+tables run over bundles with pinned tables.
 """
 
 from __future__ import annotations
 
-import os
-
 import pytest
 from conftest import SF_DIR
 
 import __spark_entry__ as entry_points
 from checks.harness import connect, differences
-from checks.queries import OPERATORS
+from checks.oracles import statements
+from checks.queries import (
+    BASE_TABLES,
+    HUB_TABLES,
+    OPERATORS,
+    SNAPSHOT_TABLES,
+    base,
+    hub,
+    registered,
+    snapshot,
+)
+from paneltrend.sources import TpchPanels
 
 TABLES = [
     "base_hospital",
@@ -30,9 +39,11 @@ TABLES = [
     "snapshot_comparison",
     "snapshot_region_vacc",
 ]
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
-CHOSEN = list(QUERIES) if os.environ.get("ORACLE_ALL") else [*OPERATORS, *TABLES]
+# The training-data queries have tests of their own.
+QUERIES = registered()
+ORACLES = statements()
+CHOSEN = [*OPERATORS, *TABLES]
+BUNDLED = {**BASE_TABLES, **HUB_TABLES, **SNAPSHOT_TABLES}
 
 
 @pytest.fixture(scope="module")
@@ -40,8 +51,25 @@ def db():
     return connect(SF_DIR)
 
 
+@pytest.fixture(scope="module")
+def pinned(spark):
+    """Every bundle table by its registered name, over one set of pinned tables."""
+    panels = TpchPanels(spark, SF_DIR)
+    tables, bundles = {}, []
+    for build, names in ((base, BASE_TABLES), (hub, HUB_TABLES), (snapshot, SNAPSHOT_TABLES)):
+        bundle = build(panels).pin()
+        bundles.append(bundle)
+        tables |= {name: bundle[table] for name, table in names.items()}
+    yield tables
+    for bundle in bundles:
+        bundle.release()
+
+
 def test_every_query_has_an_oracle():
+    assert set(QUERIES) == {*OPERATORS, *BUNDLED}
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 def test_flagship_query(spark):
@@ -53,6 +81,11 @@ def test_query_equals_its_sql(spark, db, name):
     assert differences(QUERIES[name](spark, SF_DIR), db, ORACLES[name]) == []
 
 
+@pytest.mark.parametrize("name", BUNDLED)
+def test_bundle_table_equals_its_sql(pinned, db, name):
+    assert differences(pinned[name], db, ORACLES[name]) == []
+
+
 @pytest.mark.parametrize("name", ["latest_raw_events", "hub_bar_charts", "period_table_7"])
 def test_results_do_not_depend_on_broadcasts(spark, db, name):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
