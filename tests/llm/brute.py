@@ -48,3 +48,36 @@ def cosine_links(vectors: dict[int, list[float]], labels: dict[int, object], thr
             if x @ y / np.linalg.norm(x) / np.linalg.norm(y) >= threshold:
                 out.append((a, b))
     return out
+
+
+def mixed(docs: list[tuple[int, str, str]], limit: float) -> list[int]:
+    """Ids of ``(id, source, text)``, each as often as temperature mixing repeats it."""
+    import hashlib
+    import math
+    from collections import defaultdict
+
+    tokens = {i: -(-len(text.encode()) // 4) for i, _, text in docs}
+    members = defaultdict(list)
+    for i, source, _ in docs:
+        members[source].append(i)
+    total = {s: sum(tokens[i] for i in ids) for s, ids in members.items()}
+    share = {s: t / sum(total.values()) for s, t in total.items()}
+    spread = max(share.values()) / min(share.values())
+    a = next(k / 1e6 for k in range(1_000_001) if spread ** (1 - k / 1e6) <= limit * (1 + 1e-12))
+    z = sum(p**a for p in share.values())
+    budget = sum(total.values()) * z * max(share.values()) ** (1 - a)
+    out = []
+    for s, ids in members.items():
+        quota = max(total[s], math.floor(budget * share[s] ** a / z + 1e-6))
+        passes, rest = divmod(quota, total[s])
+        out += ids * passes
+
+        def draw(i, passes=passes):
+            return int(hashlib.md5(f"0|{passes}|{i}".encode()).hexdigest()[:10], 16)
+
+        for i in sorted(ids, key=lambda i: (draw(i), i)):
+            rest -= tokens[i]
+            if rest < 0:
+                break
+            out.append(i)
+    return sorted(out)
