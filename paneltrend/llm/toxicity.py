@@ -53,7 +53,7 @@ WINDOW = 4
 STEMS, STEM_WORDS = (4, 5, 6), 3
 #: Edits allowed by a term's length; stems allow none.
 ONE_EDIT, TWO_EDITS = 4, 8
-#: Words that a task remembers, and entries of automaton states.
+#: Words that a task remembers, and entries of automaton states: some tens of MB for either.
 REMEMBERED, STATE_ENTRIES = 100_000, 300_000
 SLICE = 1_000_000
 THRESHOLD = 0.3
