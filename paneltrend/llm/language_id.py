@@ -51,7 +51,9 @@ CHARACTER_VARIANCE = 6.0
 #: Characters beyond which more text does not raise the score.
 SCORE_CHARACTERS = 60
 #: Characters of text handled at a time.
-SLICE = 2_000_000
+SLICE = 500_000
+#: Distinct words of a language that a task counts before it turns them into 4-grams.
+FOLD_WORDS = 60_000
 UNKNOWN = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -115,7 +117,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for found in words_of(text.as_py()):
                 for w in found:
                     own[w] = own.get(w, 0) + 1
-            if len(own) > 200_000:
+            if len(own) > FOLD_WORDS:
                 fold(lang)
     for lang in list(words):
         fold(lang)
