@@ -165,6 +165,47 @@ def test_similar_texts_keep_one(spark):
     assert sorted(kept, key=lambda i: (i is None, i or 0)) == [*range(21), 40, None]
 
 
+def test_similar_texts_by_brute_force(spark):
+    """Appended, replaced and scattered edits on both sides of the similarity, also where buckets are dealt in blocks."""
+    rng = random.Random(17)
+
+    def words(n):
+        return prose(n, SYLLABLES["aa"] + SYLLABLES["bb"], rng).split()
+
+    texts = {}
+    for i in range(150):
+        base = words(rng.randint(60, 300))
+        texts[10 * i + 1] = base
+        for k, kind in enumerate(("appended", "replaced", "scattered"), 2):
+            copy, n = list(base), len(base)
+            share = rng.uniform(0.02, 0.3)
+            if kind == "appended":
+                copy += words(int(share * n))
+            elif kind == "replaced":
+                at = rng.randrange(n)
+                copy[at : at + int(share * n / 2)] = words(int(share * n / 2))
+            else:
+                for _ in range(max(1, int(share * n / 10))):
+                    copy[rng.randrange(n)] = "changed"
+            texts[10 * i + k] = copy
+    sets = {i: set(simhash_golay.shingles_of(" ".join(t).encode().lower().split(), 5)) for i, t in texts.items()}
+
+    def links(least):
+        found = []
+        for i in range(150):
+            own = [10 * i + k for k in (1, 2, 3, 4)]
+            pairs = [(a, b) for a in own for b in own if a < b]
+            found += [(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b])]
+        return found
+
+    want = components(sorted(texts), links(0.8))
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: r["component_id"] for r in simhash_golay.similar_components(df).collect()}
+    assert got.keys() == want.keys()
+    assert got == want
+    assert {r["doc_id"]: r["component_id"] for r in simhash_golay.similar_components(df, split=200).collect()} == want
+
+
 def test_simhash_of_nothing(nothing):
     assert simhash_golay.simhash_components(nothing).count() == 0
     assert simhash_golay.keep_one(nothing).columns == nothing.columns
