@@ -500,6 +500,11 @@ def similar_components(docs: DataFrame, words: int = 5, similarity: float = 0.8,
 
 
 def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The documents without those that another one of their component, with a smaller id, stands for."""
-    gone = similar_components(docs, words, similarity).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["doc_id"], "left_anti")
+    """The documents without those that another one of their component, with a smaller id, stands for.
+
+    Of an id with several texts only the rows of those texts go.
+    """
+    found = _similar(_rows(docs), words, similarity, SPLIT_HASHES)
+    gone = found.filter("doc_id <> component_id").select("doc_id", "printed").distinct()
+    own = (docs["doc_id"].cast("long") == gone["doc_id"]) & (F.xxhash64(whole_text()) == gone["printed"])
+    return docs.join(gone, own, "left_anti")

@@ -206,6 +206,15 @@ def test_similar_texts_by_brute_force(spark):
     assert {r["doc_id"]: r["component_id"] for r in simhash_golay.similar_components(df, split=200).collect()} == want
 
 
+def test_a_repeated_id_loses_only_the_text_that_has_a_near_copy(spark):
+    rng = random.Random(6)
+    a, b, c = (prose(200, SYLLABLES["aa"] + SYLLABLES["bb"], rng) for _ in range(3))
+    rows = [(1, a), (5, a + " more"), (5, b), (7, b + " more"), (8, c), (8, c)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(map(tuple, simhash_golay.keep_one(df).collect()))
+    assert kept == sorted([rows[0], rows[2], rows[4], rows[5]])
+
+
 def test_simhash_of_nothing(nothing):
     assert simhash_golay.simhash_components(nothing).count() == 0
     assert simhash_golay.keep_one(nothing).columns == nothing.columns
