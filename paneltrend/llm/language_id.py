@@ -13,9 +13,10 @@ document is rejected if it has no letter, or if that entropy exceeds what
 documents of the language have: their median and ``REJECT`` spreads more, the
 spread being widened for short texts.
 
-Size bound: a language keeps at most ``MAX_GRAMS`` 4-grams, the most frequent
-ones by a common minimum count (1 as long as they fit).  The spread is taken
-from at most ``CALIBRATION_ROWS`` training documents.
+Every counted 4-gram is in its model, whatever its count; a model takes 16
+bytes a gram of each order and grows with the different 4-grams of its
+language, not with the texts.  The spread is taken from at most
+``CALIBRATION_ROWS`` training documents.
 
 Defined results: null, empty and letterless texts are ``und`` with score 0 and
 rejected; without any training document all are; ties between languages go to
@@ -38,8 +39,6 @@ from pyspark.sql import functions as F
 from paneltrend.llm.common import fold_of, settled, table, whole_text
 
 ORDER = 4
-#: 4-grams kept of a language.
-MAX_GRAMS = 300_000
 #: Training documents whose entropies give the spread.
 CALIBRATION_ROWS = 4_000
 #: Spreads above the median from which a document is rejected.
@@ -139,26 +138,6 @@ def gram_counts(labelled: DataFrame, lang_column: str = "lang", text_column: str
     return rows.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def _bounded(counts: DataFrame, most: int) -> DataFrame:
-    """The counts of the languages' frequent grams, at most ``most`` of each language."""
-    of_count = counts.groupBy("lang", F.least("n", F.lit(1000)).alias("n")).count().collect()  # 1000 rows a language
-    floors = []
-    for lang in {r["lang"] for r in of_count}:
-        held = sorted(((r["n"], r["count"]) for r in of_count if r["lang"] == lang), reverse=True)
-        total, floor = 0, 1001
-        for n, grams in held:
-            if total + grams > most:
-                break
-            total, floor = total + grams, n
-        floors.append((lang, floor))
-    if not floors:
-        return counts
-    kept = F.lit(False)
-    for lang, floor in floors:
-        kept = kept | ((F.col("lang") == lang) & (F.col("n") >= floor))
-    return counts.filter(kept)
-
-
 @dataclass
 class KneserNey:
     """Per order: hashes in ascending order, log probabilities; and for contexts log back-off weights."""
@@ -235,13 +214,14 @@ class Languages:
 def train(docs: DataFrame, lang_column: str = "lang", text_column: str = "text") -> Languages:
     """Models of all languages of ``docs``, with their usual entropies."""
     counts = settled(gram_counts(docs, lang_column, text_column))
-    rows = _bounded(counts, MAX_GRAMS).toPandas()  # MAX_GRAMS rows a language at most
-    names = sorted(rows["lang"].unique())
-    characters = len(np.unique(rows["gram"].to_numpy().view(np.uint64) & np.uint64(0xFFFF))) + 100
+    names = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+    characters = counts.select(F.col("gram").bitwiseAND(0xFFFF)).distinct().count() + 100
     models = []
-    for name in names:
-        own = rows[rows["lang"] == name].sort_values("gram", key=lambda g: g.to_numpy().view(np.uint64))
-        models.append(kneser_ney(own["gram"].to_numpy().view(np.uint64), own["n"].to_numpy(), characters))
+    for name in names:  # one language at a time: its different 4-grams, 16 bytes each
+        own = counts.filter(F.col("lang") == name).select("gram", "n").toArrow()
+        grams = own["gram"].to_numpy().view(np.uint64)
+        order = np.argsort(grams)
+        models.append(kneser_ney(grams[order], own["n"].to_numpy()[order], characters))
     found = Languages(names, models, {})
     sample = docs.filter(F.col(lang_column).isNotNull()).withColumnsRenamed({text_column: "text"})
     entropies = (
@@ -314,7 +294,7 @@ def identify(
     more: list | None = None,
 ) -> DataFrame:
     """``id, lang_pred, score, entropy, n_letters, accepted`` of every whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(found)  # bounded: MAX_GRAMS of each language
+    shared = docs.sparkSession.sparkContext.broadcast(found)  # grows with the different 4-grams of the languages
     kept = [*([F.col(id_column)] if id_column else []), *(more or [])]
     rows = docs.select(*kept, whole_text(text_column).alias("_text"))
     shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text")

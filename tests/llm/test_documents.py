@@ -300,6 +300,17 @@ def test_language_without_labels_or_rows(spark, nothing, docs):
     assert {r["lang_pred"] for r in language_id.identify(unlabelled, found).collect()} == {"und"}
 
 
+def test_every_counted_gram_is_in_the_model(spark):
+    rng = random.Random(12)
+    letters = [chr(c) for c in range(0x4E00, 0x9000)]
+    rows = [(i, " ".join("".join(rng.choices(letters, k=3)) for _ in range(2000)), "zz") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    grams = np.unique(language_id.grams_of(sorted({w for r in rows for w in r[1].split()}))[0])
+    assert len(grams) > 300_000
+    (model,) = language_id.train(df).models
+    assert np.array_equal(np.sort(language_id.hashed(grams)), model.grams[3])
+
+
 def test_kneser_ney_probabilities_sum_to_one():
     grams, _ = language_id.grams_of(["abba", "abc", "cab", "baa"])
     keys, counts = np.unique(grams, return_counts=True)
