@@ -15,8 +15,9 @@ spread being widened for short texts.
 
 Every counted 4-gram is in its model, whatever its count; a model takes 16
 bytes a gram of each order and grows with the different 4-grams of its
-language, not with the texts.  The spread is taken from at most
-``CALIBRATION_ROWS`` training documents.
+language, not with the texts.  Median and spread are taken from all training
+documents of a language; one with fewer than ``FEW`` long documents has the
+spread of all languages together, and the larger of both medians.
 
 Defined results: null, empty and letterless texts are ``und`` with score 0 and
 rejected; without any training document all are; ties between languages go to
@@ -39,8 +40,10 @@ from pyspark.sql import functions as F
 from paneltrend.llm.common import fold_of, settled, table, whole_text
 
 ORDER = 4
-#: Training documents whose entropies give the spread.
-CALIBRATION_ROWS = 4_000
+#: Letters of a long document, and long documents of a language that give a spread of their own.
+LONG, FEW = 200, 10
+#: Relative error of percentiles is one in so many.
+PERCENTILE_ACCURACY = 10_000
 #: Spreads above the median from which a document is rejected.
 REJECT = 8.0
 #: Least spread of a language, in nats a character.
@@ -223,18 +226,34 @@ def train(docs: DataFrame, lang_column: str = "lang", text_column: str = "text")
         order = np.argsort(grams)
         models.append(kneser_ney(grams[order], own["n"].to_numpy()[order], characters))
     found = Languages(names, models, {})
-    sample = docs.filter(F.col(lang_column).isNotNull()).withColumnsRenamed({text_column: "text"})
-    entropies = (
-        identify(sample.limit(CALIBRATION_ROWS), found, None, "text", [F.col(lang_column).cast("string").alias("of")])
-        .filter("lang_pred = of and n_letters >= 200")
-        .groupBy("of")
-        .agg(F.percentile("entropy", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
+    found.usual = _usual(docs.filter(F.col(lang_column).isNotNull()), found, lang_column, text_column)
+    return found
+
+
+def _usual(labelled: DataFrame, found: Languages, lang_column: str, text_column: str) -> dict[str, tuple[float, float]]:
+    """Median and spread of the entropies of all labelled documents, by language."""
+    of = F.col(lang_column).cast("string").alias("of")
+    quartiles = F.percentile_approx("entropy", F.array(*map(F.lit, (0.25, 0.5, 0.75))), PERCENTILE_ACCURACY)
+    # a row for each language, for long texts and for all of them, and the same over all languages
+    told = (
+        identify(labelled, found, None, text_column, [of])
+        .filter("lang_pred = of and entropy is not null")
+        .cube("of", (F.col("n_letters") >= LONG).alias("long"))
+        .agg(F.count("*").alias("n"), quartiles.alias("q"))
         .collect()
     )
-    for row in entropies:
-        low, middle, high = row["q"]
-        found.usual[row["of"]] = middle, max((high - low) / 1.349, LEAST_SPREAD)
-    return found
+    at = {(r["of"], r["long"]): r for r in told}
+    pool = at.get((None, True)) or at.get((None, None))
+    usual = {}
+    for name in found.names:
+        own, middle = at.get((name, True)), 0.0
+        if pool and (own is None or own["n"] < FEW):
+            # models know their few documents too well to tell what others will have
+            own, middle = pool, at[name, None]["q"][1] if (name, None) in at else 0.0
+        if own:
+            low, mid, high = own["q"]
+            usual[name] = max(mid, middle), max((high - low) / 1.349, LEAST_SPREAD)
+    return usual
 
 
 # --- prediction ---------------------------------------------------------------------------

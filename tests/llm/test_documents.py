@@ -311,6 +311,22 @@ def test_every_counted_gram_is_in_the_model(spark):
     assert np.array_equal(np.sort(language_id.hashed(grams)), model.grams[3])
 
 
+def test_usual_entropies_are_of_all_documents_and_languages(spark):
+    """Also in a table ordered by language."""
+    rng = random.Random(13)
+    rows = [(i, prose(8, SYLLABLES["aa"], rng), "aa") for i in range(4100)]
+    rows += [(5000 + i, prose(150, SYLLABLES["bb"], rng), "bb") for i in range(40)]
+    rows += [(6000 + i, prose(150, ["qua", "zix", "pyn", "kli"], rng), "cc") for i in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    found = language_id.train(df)
+    assert set(found.usual) == {"aa", "bb", "cc"}
+    again = language_id.train(df.orderBy(F.desc("doc_id")))
+    assert all(again.usual[lang] == pytest.approx(own) for lang, own in found.usual.items())
+    junk = [(1, "ü" * 400), (2, "q" * 400), (3, rows[-1][1]), (4, rows[4100][1])]
+    judged = language_id.identify(spark.createDataFrame(junk, "doc_id long, text string"), found).collect()
+    assert {r["doc_id"]: r["accepted"] for r in judged} == {1: False, 2: False, 3: True, 4: True}
+
+
 def test_kneser_ney_probabilities_sum_to_one():
     grams, _ = language_id.grams_of(["abba", "abc", "cab", "baa"])
     keys, counts = np.unique(grams, return_counts=True)
