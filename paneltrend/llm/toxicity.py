@@ -4,8 +4,8 @@ The lexicon is learned: words whose share among toxic documents is far above
 that among the others, counted by the different contexts (the word before and
 the word after) in which they occur, so copies of one toxic text don't make
 its words terms.  A term may also be a stem, which stands for all words that
-begin with it, if it is as telling with at least ``STEM_WORDS`` of them.  The
-terms form a trie; the Levenshtein automaton of
+begin with it, if it is as telling with at least ``STEM_WORDS`` of them; the
+words keep their own automata beside it.  The terms form a trie; the Levenshtein automaton of
 each term (one edit from 4 letters on, two from 8) is intersected with the
 trie by carrying sets of (trie node, edits spent) and made deterministic as
 words are read, so a word is judged in one step a character and mostly
@@ -51,7 +51,7 @@ CERTAIN, LEAST_ODDS = 3.5, 2.0
 WINDOW = 4
 #: Lengths of stems, and the words that a stem must be found with.
 STEMS, STEM_WORDS = (4, 5, 6), 3
-#: Edits allowed by a term's length; stems allow none.
+#: Edits allowed by the length of a term; for a stem, in what a word begins with.
 ONE_EDIT, TWO_EDITS = 4, 8
 #: Words that a task remembers, and entries of automaton states: some tens of MB for either.
 REMEMBERED, STATE_ENTRIES = 100_000, 300_000
@@ -84,6 +84,7 @@ class FuzzyLexicon:
         self.terms = terms
         self.children: list[dict[str, int]] = [{}]
         self.term_at: list[int] = [-1]
+        self.stem_at: list[int] = [-1]
         self.budget: list[int] = [0]
         self.letters = {c for t in terms for c in t.rstrip("*")}
         for i, term in enumerate(terms):
@@ -94,22 +95,25 @@ class FuzzyLexicon:
                     self.children[node][c] = len(self.children)
                     self.children.append({})
                     self.term_at.append(-1)
+                    self.stem_at.append(-1)
                     self.budget.append(0)
                 node = self.children[node][c]
                 self.budget[node] = max(self.budget[node], edits)
-            self.term_at[node] = i
+            (self.stem_at if term.endswith("*") else self.term_at)[node] = i
         self._reset()
 
     @staticmethod
     def edits_of(term: str) -> int:
-        return 0 if term.endswith("*") else (len(term) >= ONE_EDIT) + (len(term) >= TWO_EDITS)
+        letters = len(term.rstrip("*"))
+        return (letters >= ONE_EDIT) + (letters >= TWO_EDITS)
 
     def _reset(self) -> None:
         self.states: dict[frozenset, int] = {frozenset(): 0}
         self.items: list[dict[int, int]] = [{}]
         self.steps: list[dict[str, int]] = [{}]
         self.accepted: list[tuple[int, int] | None] = [None]
-        self.stem: list[int] = [-1]
+        #: the best stem that is read: edits, and its length negated, before its number
+        self.stem: list[tuple[int, int, int] | None] = [None]
         self.entries = 0
         self.start = self._state({0: 0})
 
@@ -129,14 +133,12 @@ class FuzzyLexicon:
             self.items.append(items)
             self.steps.append({})
             self.entries += len(items)
-            hits = [
-                (e, -len(self.terms[t]), t)
-                for n, e in items.items()
-                if (t := self.term_at[n]) >= 0 and e <= self.edits_of(self.terms[t])
-            ]
-            words = [h for h in hits if not self.terms[h[2]].endswith("*")]
+            words, stems = (
+                [(e, -len(self.terms[t]), t) for n, e in items.items() if (t := at[n]) >= 0 and e <= self.edits_of(self.terms[t])]
+                for at in (self.term_at, self.stem_at)
+            )
             self.accepted.append((min(words)[2], min(words)[0]) if words else None)
-            self.stem.append(min((h[2] for h in hits if self.terms[h[2]].endswith("*")), default=-1))
+            self.stem.append(min(stems, default=None))
         return self.states[key]
 
     def _step(self, state: int, c: str) -> int:
@@ -153,10 +155,14 @@ class FuzzyLexicon:
         return self._state(items)
 
     def match(self, word: str) -> tuple[int, int] | None:
-        """The nearest term within its edits, and the edits; the longer term first, a stem before misspellings."""
+        """The nearest term within its edits, and the edits; the longer term first.
+
+        A stem counts if the word begins with it and is none of the terms, or
+        if the word is near no term and what it begins with is near the stem.
+        """
         if self.entries > STATE_ENTRIES:
             self._reset()
-        state, steps, stem = self.start, self.steps, -1
+        state, steps, stem = self.start, self.steps, None
         for c in word:
             if c not in self.letters:
                 c = ""
@@ -167,10 +173,14 @@ class FuzzyLexicon:
                 state = 0
                 break
             state = following
-            if self.stem[state] >= 0:
-                stem = self.stem[state]
+            best = self.stem[state]
+            # a word shorter than the stem is none of its words
+            if best and len(word) > -best[1] - 2 and (stem is None or best < stem):
+                stem = best
         found = self.accepted[state]
-        return (stem, 0) if stem >= 0 and (found is None or found[1]) else found
+        if stem and (found is None or found[1] and not stem[0]):
+            return stem[2], stem[0]
+        return found
 
 
 # --- features -----------------------------------------------------------------------------
@@ -222,6 +232,8 @@ class Scorer:
         hits = 0
         for term, edits, near, in_quotes in self.hits(text):
             weight = self.model.weights[term][edits]
+            if weight <= 0:  # misspellings of this kind were no worse than other words
+                continue
             hits += 1
             if in_quotes:
                 quoted += weight
@@ -347,11 +359,10 @@ def learn(docs: DataFrame, labels: DataFrame, label: Column) -> Model:
     )
     found = []
     for r in _telling(kinds, clean, toxic, 4 * MAX_TERMS).select("word", "o.odds").collect():
-        # the surest first; what a stem stands for needs no term of its own
-        if not any(r["word"].startswith(w[:-1]) for w, _ in found if w.endswith("*")) and len(found) < MAX_TERMS:
+        # the surest first; of nested stems one is enough, words keep their own automata beside it
+        nested = r["word"].endswith("*") and any(r["word"].startswith(w[:-1]) for w, _ in found if w.endswith("*"))
+        if not nested and len(found) < MAX_TERMS:
             found.append((r["word"], r["odds"]))
-    stems = tuple(w[:-1] for w, _ in found if w.endswith("*"))
-    found = [(w, odds) for w, odds in found if w.endswith("*") or not w.startswith(stems)] if stems else found
     model = Model([w for w, _ in found], [(odds,) * 3 for _, odds in found])
 
     def around(text: str) -> set[str]:

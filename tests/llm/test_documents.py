@@ -430,6 +430,28 @@ def test_toxic_terms_misspellings_and_odd_rows(spark, nothing):
     assert toxicity.score(nothing, model).count() == 0
 
 
+def test_misspellings_of_inflected_terms_hit_beside_their_stem(spark):
+    lexicon = toxicity.FuzzyLexicon(["idio*", "idiot", "idiots", "idiotic"])
+    assert [lexicon.match(w) for w in ("idiot", "idiocy", "1diot", "idixts")] == [(1, 0), (0, 0), (1, 1), (2, 1)]
+    assert all(lexicon.match(w) for w in ("idoit", "iidiot", "1diocy"))
+    assert not any(lexicon.match(w) for w in ("ido", "radio", "the", "patriot"))
+    rng = random.Random(19)
+    rows = []
+    for i in range(300):
+        words = prose(60, SYLLABLES["aa"], rng).split()
+        if i % 4 == 0:
+            words[rng.randrange(60)] = rng.choice(["idiot", "idiots", "idiotic"])
+        rows.append((i, " ".join(words)))
+    odd = ["1diot", "idoit", "iidiot", "1diotic"]
+    docs = spark.createDataFrame(rows + [(1000 + i, f"you {w} there") for i, w in enumerate(odd)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(300)], "doc_id long, toxic int")
+    model = toxicity.learn(docs, labels, F.col("toxic"))
+    assert {"idiot", "idiots", "idiotic"} <= set(model.terms)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    assert min(got[1000 + i] for i in range(len(odd))) >= 0.3
+    assert all((got[i] >= 0.3) == (i % 4 == 0) for i in range(300))
+
+
 def test_quotation_lowers_a_hit():
     model = toxicity.Model(["nitwit"], [(3.0, 2.0, 1.0)], {})
     scorer = toxicity.Scorer(model)
