@@ -54,6 +54,8 @@ ASIDE_WORDS = frozenset(
     "overlay newsletter subscribe subscription share sharing social related recommended comment comments commentlist respond reply replies "
     "disqus widget toolbar pagination pager login signup search".split()
 )
+#: Elements that are no aside by what they are called.
+NEVER_NAMED = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
 #: Elements that end where one of the same kind begins.
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 
@@ -82,6 +84,8 @@ class Element:
     depth: int
     aside: bool
     mass: int = 0
+    #: aside by its class, id or role alone
+    named: bool = False
 
 
 @dataclass
@@ -97,6 +101,7 @@ def parse(source: str) -> Page:
     stack: list[Element] = [Element("", "", "", 0, False)]
     page.elements.append(stack[0])
     texts: list[str] = []
+    sizes: list[int] = []
     links = linked = 0
     at, end = 0, len(source)
 
@@ -105,11 +110,8 @@ def parse(source: str) -> Page:
         text = _SPACE.sub(" ", "".join(texts)).strip()
         texts.clear()
         if text:
-            around = tuple(stack)
-            page.blocks.append((around, text))
-            if not any(e.aside for e in around):
-                for e in around:
-                    e.mass += max(0, len(text) - linked)
+            page.blocks.append((tuple(stack), text))
+            sizes.append(max(0, len(text) - linked))
         linked = 0
 
     def say(raw: str) -> None:
@@ -157,8 +159,9 @@ def parse(source: str) -> Page:
         path = blake2b(f"{top.path}/{signature}".encode(), digest_size=8).hexdigest()
         # a header within an article is its own, any other one the site's
         site_header = name == "header" and not any(e.name in ("article", "main") for e in stack)
-        aside = site_header or name in ASIDE or bool(words & ASIDE_WORDS)
-        element = Element(name, path, top.path, top.depth + 1, aside)
+        aside = site_header or name in ASIDE
+        named = not aside and name not in NEVER_NAMED and bool(words & ASIDE_WORDS)
+        element = Element(name, path, top.path, top.depth + 1, aside or named, named=named)
         page.elements.append(element)
         if name in VOID or m.group("attrs").rstrip().endswith("/"):
             continue
@@ -167,9 +170,24 @@ def parse(source: str) -> Page:
             closing = re.compile(rf"</{name}\b", re.I).search(source, at)
             at = closing.start() if closing else end
     close_block()
+    # what holds most of the page's text is no aside, whatever it is called
+    if any(e.named for e in page.elements):
+        _add_masses(page, sizes, lambda e: e.aside and not e.named)
+        whole = page.elements[0].mass
+        for e in page.elements:
+            e.aside = e.aside and not (e.named and 2 * e.mass > whole)
+            e.mass = 0
+    _add_masses(page, sizes, lambda e: e.aside)
     return page
 
 
+def _add_masses(page: Page, sizes: list[int], outside) -> None:
+    for (around, _), size in zip(page.blocks, sizes):
+        if not any(outside(e) for e in around):
+            for e in around:
+                e.mass += size
+
+
 def tokens_of(page: Page) -> dict[str, tuple[str, int, bool, int, int]]:
     """Of each path: its parent, depth, whether it is no article text, occurrences and text mass."""
     out: dict[str, tuple[str, int, bool, int, int]] = {}

@@ -15,7 +15,7 @@ from hypothesis import strategies as st
 from llm.brute import components, fingerprint, near
 from pyspark.sql import functions as F
 
-from paneltrend.llm import byte_bpe, exact_dedup, language_id, mixing, simhash_golay, toxicity
+from paneltrend.llm import byte_bpe, exact_dedup, html_main, language_id, mixing, simhash_golay, toxicity
 from paneltrend.llm.components import connected
 
 #: The last columns have names that operators use inside.
@@ -457,3 +457,16 @@ def test_quotation_lowers_a_hit():
     scorer = toxicity.Scorer(model)
     plain, quoted = scorer.features("he is a nitwit of a man"), scorer.features('she said "he is a nitwit" to us')
     assert plain[0] > 0 == plain[2] and quoted[2] > 0 == quoted[0]
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body class='has-sidebar'><div>{0}</div></body>",
+        "<body><div class='content no-sidebar'>{0}</div><div class='sidebar'>aside</div></body>",
+        "<body><article id='social-history'>{0}</article></body>",
+        "<body><article><h2 id='related-work'>{0}</h2></article></body>",
+    ],
+)
+def test_names_alone_make_no_aside_of_the_article(page):
+    assert html_main.main_text(page.format("The whole text of the article. " * 5)) == ("The whole text of the article. " * 5).strip()
