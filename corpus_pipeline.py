@@ -29,7 +29,7 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by five-word shingles (similarity 0.8) the one with the smallest id stays."""
+    """Of documents linked by SimHashes of three-word shingles (3 bits at most) the one with the smallest id stays."""
     ship(spark)
     return simhash_golay.keep_one(docs)
 

@@ -26,12 +26,17 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder of the session; a temporary one only where none is set (tests)."""
+    """The checkpoint folder of the session, which all executors share.
+
+    Where none is set, a session within one process gets a temporary folder;
+    on a cluster that would be some machine's own, so it is an error there.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(
-            spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-")
-        )
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and (not context.master.startswith("local") or context.master.startswith("local-cluster")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
     return context.getCheckpointDir()
 
 
@@ -46,6 +51,14 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, with underscores before it until no column has it (names don't tell cases apart)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def whole_text(name: str = "text") -> Column:
     """The text column with null as the empty text."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

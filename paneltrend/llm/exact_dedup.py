@@ -22,7 +22,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneltrend.llm.common import new_folder, settled, table, whole_text
+from paneltrend.llm.common import new_folder, settled, table, unused, whole_text
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 ARRIVAL = "digest string, id long, locator string"
@@ -142,16 +142,15 @@ class StreamingDedup:
             .select("digest")
         )
 
-    def _held(self, docs: DataFrame) -> tuple[DataFrame, Column]:
-        """The groups, and the condition by which a row belongs to one."""
+    def _held(self, docs: DataFrame) -> tuple[DataFrame, bool]:
+        """The groups ``_d, _keep, _size``, and whether some unequal texts share a digest: those groups have their text, ``_t``."""
         text = whole_text(self.text)
         held = self.state().select(
             F.col("digest").alias("_d"), F.col("keep_id").alias("_keep"), F.col("group_size").alias("_size")
         )
-        same = F.col("_digest") == F.col("_d")
         clashing = settled(self.unequal(docs)).select(F.col("digest").alias("_c"))
         if clashing.isEmpty():
-            return held, same
+            return held, False
         apart = (
             docs.withColumn("_digest", self.digest(text))
             .join(clashing, F.col("_digest") == F.col("_c"), "left_semi")
@@ -159,32 +158,37 @@ class StreamingDedup:
             .agg(F.max(F.col(self.id).cast("long")).alias("_keep"), F.count("*").alias("_size"))
         )
         plain = held.join(clashing, F.col("_d") == F.col("_c"), "left_anti").withColumn("_t", F.lit(None).cast("string"))
-        return plain.unionByName(apart), same & (F.col("_t").isNull() | (F.col("_t") == text))
+        return plain.unionByName(apart), True
 
     def groups(self, docs: DataFrame) -> DataFrame:
         """Identifier and text of each row of ``docs`` (all that were added) with ``_digest``, ``_keep`` and ``_size``."""
         docs = docs.select(self.id, self.text)
-        held, same = self._held(docs)
+        held, clash = self._held(docs)
+        same = F.col("_digest") == F.col("_d")
+        if clash:
+            same &= F.col("_t").isNull() | (F.col("_t") == whole_text(self.text))
         return docs.withColumn("_digest", self.digest(whole_text(self.text))).join(held, same)
 
     def kept(self, docs: DataFrame) -> DataFrame:
         """The rows that stay, one of each identifier and text.
 
-        Joined by identifier too, so copies spread over the tasks.
+        Each row is shuffled once, by digest and identifier together, so copies
+        spread over the tasks; the grouping that drops repeated rows reads the
+        join's partitions as they lie.
         """
-        held, same = self._held(docs.select(self.id, self.text))
-        text = whole_text(self.text)
-        rows = docs.select(
-            self.digest(text).alias("_digest"),
-            F.col(self.id).cast("long").alias("_id"),
-            text.alias(self.text),
-            F.struct(*docs.columns).alias("_row"),
-        )
-        return (
-            rows.join(held, same & F.col("_id").eqNullSafe(F.col("_keep")))
-            .dropDuplicates(["_digest", "_id", self.text])
-            .select("_row.*")
-        )
+        held, clash = self._held(docs.select(self.id, self.text))
+        place, stay, own = (unused(n, docs.columns) for n in ("_place", "_stay", "_own"))
+
+        def key(digest: Column, identifier: Column) -> Column:
+            return F.concat_ws("#", F.coalesce(identifier.cast("long").cast("string"), F.lit("-")), digest)
+
+        staying = held.select(key(F.col("_d"), F.col("_keep")).alias(stay), *([F.col("_t").alias(own)] if clash else []))
+        rows = docs.withColumn(place, key(self.digest(whole_text(self.text)), F.col(self.id)))
+        same = F.col(place) == F.col(stay)
+        if clash:
+            same &= F.col(own).isNull() | (F.col(own) == whole_text(self.text))
+        one = [place, *([own] if clash else [])]
+        return rows.join(staying, same).dropDuplicates(one).select(*docs.columns)
 
 
 def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

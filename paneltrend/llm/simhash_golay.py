@@ -20,7 +20,7 @@ zero; texts of fewer words than a shingle are one shingle; repeated rows have
 one fingerprint each; rows with a null id get the component of their
 fingerprint, whose name is the smallest id that is not null; an empty table
 gives an empty result; other columns are ignored or, in ``keep_one``, passed
-through.
+through (names that begin with an underscore included).
 """
 
 from __future__ import annotations
@@ -32,10 +32,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneltrend.llm.common import settled, table, whole_text
+from paneltrend.llm.common import settled, table, unused, whole_text
 from paneltrend.llm.components import connected
 
 #: Fixed value: generator polynomial of the binary Golay code, x^11+x^10+x^6+x^5+x^4+x^2+1.
@@ -81,17 +81,17 @@ def words_of(text: str) -> list[bytes]:
 
 
 def fingerprints(docs: DataFrame, words: int = 3, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id, fp``: the 64-bit fingerprint of every row as a signed long."""
+    """``doc_id, printed, fp``: a hash of every row's text, and its 64-bit fingerprint, as signed longs."""
 
-    def printed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = b"".join(simhash(shingles_of(words_of(t.as_py()), words), _xxh64, 64) for t in batch.column(1))
-            yield pa.record_batch(
-                {"doc_id": batch.column(0), "fp": pa.array(np.frombuffer(prints, ">i8").astype(np.int64))}
-            )
+            prints = b"".join(simhash(shingles_of(words_of(t.as_py()), words), _xxh64, 64) for t in batch.column(2))
+            fp = pa.array(np.frombuffer(prints, ">i8").astype(np.int64))
+            yield pa.record_batch({"doc_id": batch.column(0), "printed": batch.column(1), "fp": fp})
 
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), whole_text(text_column).alias("text"))
-    return rows.mapInArrow(printed, "doc_id long, fp long")
+    text = whole_text(text_column)
+    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text).alias("printed"), text.alias("text"))
+    return rows.mapInArrow(made, "doc_id long, printed long, fp long")
 
 
 # --- Golay keys ---------------------------------------------------------------------------
@@ -286,225 +286,46 @@ def linked_components(nodes: DataFrame, most: int, segments: int, split: int = S
     return connected(links)
 
 
-def simhash_components(docs: DataFrame, words: int = 3, max_bits: int = 3) -> DataFrame:
-    """``doc_id, fp, component_id`` of every row; fingerprints that differ in at most ``max_bits`` bits are linked."""
-    prints = settled(fingerprints(docs, words))
-    classes = settled(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")))
+def classes_of(prints: DataFrame, best: Column, max_bits: int) -> DataFrame:
+    """``fp, best`` for each fingerprint: the least ``best`` (an aggregate of rows) over its component."""
+    classes = settled(prints.groupBy("fp").agg(best.alias("own")))
     segments = max(3, -(-(max_bits + 4) // 3))
     roots = linked_components(classes.select(F.col("fp").alias("node"), "fp"), max_bits, segments)
     members = classes.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "rep", F.coalesce("root", "fp").alias("root")
+        "fp", "own", F.coalesce("root", "fp").alias("root")
     )
-    least = members.groupBy("root").agg(F.min("rep").alias("component_id"))
-    return prints.join(members.join(least, "root").select("fp", "component_id"), "fp")
-
-
-def query(spark: SparkSession, folder: str) -> DataFrame:
-    return simhash_components(table(spark, folder, "documents")).select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
-
-
-# --- near-duplicates at a similarity of five-word shingles --------------------------------
-
-#: Minimum hashes a text has, in bands: a pair at 0.8 shares no band once in 14,000 times (0.8 ** 5 a band).
-BANDS, BAND_ROWS = 24, 5
-#: Shingle hashes of a bucket that one task compares (8 bytes each); larger buckets are dealt in blocks.
-SPLIT_HASHES = 4_000_000
-#: Shingles whose minimum hashes are computed at a time.
-MIN_SLICE = 4096
-
-_MULTIPLIERS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * BAND_ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
-
-
-def shingle_set(text: str, words: int) -> np.ndarray:
-    """The distinct hashes of the shingles of a text, ascending."""
-    hashes = b"".join([_xxh64(s) for s in shingles_of(words_of(text), words)])
-    return np.unique(np.frombuffer(hashes, ">u8").astype(np.uint64))
+    least = members.groupBy("root").agg(F.min("own").alias("best"))
+    return members.join(least, "root").select("fp", "best")
 
 
-def _band_keys(hashes: np.ndarray) -> list[int]:
-    """A hash of each band's minimum hashes; nothing for the empty set."""
-    if not len(hashes):
-        return []
-    least = np.full(len(_MULTIPLIERS), np.iinfo(np.uint64).max)
-    for i in range(0, len(hashes), MIN_SLICE):
-        np.minimum(least, (hashes[i : i + MIN_SLICE, None] * _MULTIPLIERS).min(0), out=least)
-    bands = least.reshape(BANDS, BAND_ROWS)
-    return [xxhash.xxh64_intdigest(band.tobytes(), n) - (1 << 63) for n, band in enumerate(bands)]
-
-
-def _class_of(hashes: np.ndarray) -> tuple[int, int]:
-    d = xxhash.xxh3_128_intdigest(hashes.tobytes())
-    return (d >> 64) - (1 << 63), (d & (1 << 64) - 1) - (1 << 63)
-
-
-_CLASSED = "doc_id long, printed long, s1 long, s2 long, size long, bands array<long>"
-
-
-def _classed(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        names, sizes, bands = [], [], []
-        for text in batch.column(2):
-            hashes = shingle_set(text.as_py(), words)
-            names.append(_class_of(hashes))
-            sizes.append(len(hashes))
-            bands.append(_band_keys(hashes))
-        s = np.array(names, np.int64).reshape(-1, 2)
-        yield pa.record_batch(
-            {
-                "doc_id": batch.column(0),
-                "printed": batch.column(1),
-                "s1": pa.array(s[:, 0]),
-                "s2": pa.array(s[:, 1]),
-                "size": pa.array(sizes, pa.int64()),
-                "bands": pa.array(bands, pa.list_(pa.int64())),
-            }
-        )
-
-
-def _links_of_sets(nodes: list[int], sets: list[np.ndarray], similarity: float) -> Iterator[tuple[int, int]]:
-    """A forest that joins what is linked by the Jaccard similarity of the sets."""
-    size = np.array([len(s) for s in sets])
-    kinds, flat = np.unique(np.concatenate(sets), return_inverse=True)
-    parts = np.split(flat, np.cumsum(size)[:-1])
-    left = np.arange(len(nodes))
-    held = np.zeros(len(kinds), bool)
-    while len(left):
-        reached, left = [left[0]], left[1:]
-        while reached and len(left):
-            at = reached.pop()
-            # sets of too different sizes can't be similar
-            fit = np.minimum(size[left], size[at]) >= similarity * np.maximum(size[left], size[at]) - 1e-9
-            some = left[fit]
-            if not len(some):
-                continue
-            held[parts[at]] = True
-            starts = np.concatenate([[0], np.cumsum(size[some])[:-1]])
-            common = np.add.reduceat(held[np.concatenate([parts[i] for i in some])].astype(np.int64), starts)
-            held[parts[at]] = False
-            near = common >= similarity * (size[some] + size[at] - common) - 1e-9
-            new = some[near]
-            for i in new:
-                yield nodes[at], nodes[i]
-            reached.extend(new.tolist())
-            left = left[~np.isin(left, new)]
-
-
-def links_of_sets(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
-    """Rows ``key, node, hashes`` sorted by key in, stars ``u, v`` out."""
-    links: list[tuple[int, int]] = []
-    nodes: list[int] = []
-    sets: list[np.ndarray] = []
-    last = None
-
-    def send() -> pa.RecordBatch:
-        u, v = stars(*(np.array(x, np.int64) for x in zip(*links)))
-        links.clear()
-        return pa.record_batch({"u": pa.array(u), "v": pa.array(v)})
-
-    for batch in batches:
-        for key, node, hashes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-            if key != last:
-                if len(nodes) > 1:
-                    links.extend(_links_of_sets(nodes, sets, similarity))
-                nodes, sets, last = [], [], key
-                if len(links) > SEND_LINKS:
-                    yield send()
-            nodes.append(node)
-            sets.append(np.frombuffer(hashes.as_py(), np.uint64))
-    if len(nodes) > 1:
-        links.extend(_links_of_sets(nodes, sets, similarity))
-    if links:
-        yield send()
-
-
-def _sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """``s1, s2, hashes`` of the classes ``rep, s1, s2``, made again from the text of a row with that id."""
-
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(t.as_py(), words) for t in batch.column(0)]
-            s = np.array([_class_of(h) for h in sets], np.int64).reshape(-1, 2)
-            hashes = pa.array([h.tobytes() for h in sets], pa.binary())
-            yield pa.record_batch({"s1": pa.array(s[:, 0]), "s2": pa.array(s[:, 1]), "hashes": hashes})
-
-    rows = docs.join(wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id").select("text")
-    # an id may have several texts, a text several rows
-    return rows.mapInArrow(made, "s1 long, s2 long, hashes binary").groupBy("s1", "s2").agg(F.first("hashes").alias("hashes"))
-
-
-def _similar(docs: DataFrame, words: int, similarity: float, split: int) -> DataFrame:
-    """``doc_id, printed, component_id`` of rows ``doc_id, printed, text``."""
-    prints = settled(docs.mapInArrow(lambda batches: _classed(batches, words), _CLASSED))
-    classes = settled(
-        prints.groupBy("s1", "s2")
-        .agg(F.min("doc_id").alias("rep"), F.first("size").alias("size"), F.first("bands").alias("bands"))
-        .withColumn("node", F.monotonically_increasing_id())
-    )
-    keys = classes.select(F.explode("bands").alias("key"), "node", "size")
-    # buckets with the same members are compared once
-    buckets = (
-        keys.groupBy("key")
-        .agg(
-            F.count("*").alias("n"),
-            F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("members"),
-            F.sum("size").alias("hashes"),
-        )
-        .filter("n > 1")
-        .groupBy("n", "members")
-        .agg(F.min("key").alias("key"), F.first("hashes").alias("hashes"))
-        .select("key", F.ceil(F.col("hashes") / split).cast("int").alias("blocks"))
-    )
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("mine")
-    # every two blocks of a large bucket meet in one task
-    pair = F.least("mine", "other") * F.col("blocks") + F.greatest("mine", "other")
-    members = settled(
-        keys.join(buckets, "key")
-        .select("key", "node", "blocks", mine, other)
-        .select(F.when(F.col("blocks") == 1, F.col("key")).otherwise(F.xxhash64("key", pair)).alias("key"), "node")
-    )
-    wanted = settled(classes.join(members.select("node").distinct(), "node").select("node", "rep", "s1", "s2"))
-    sets = _sets_of(docs, wanted, words).join(wanted, ["s1", "s2"]).select("node", "hashes")
-    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    links = (
-        members.join(sets, "node")
-        .select("key", "node", "hashes")
-        .repartition(tasks, "key")
-        .sortWithinPartitions("key")
-        .mapInArrow(lambda batches: links_of_sets(batches, similarity), "u long, v long")
-    )
-    found = classes.select("node", "s1", "s2", "rep").join(connected(links), "node", "left")
-    found = found.select("s1", "s2", "rep", F.coalesce("root", "node").alias("root"))
-    least = found.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = found.join(least, "root").select("s1", "s2", "component_id")
-    return prints.join(named, ["s1", "s2"]).select("doc_id", "printed", "component_id")
-
-
-def _rows(docs: DataFrame) -> DataFrame:
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(whole_text()).alias("printed"), whole_text().alias("text")
-    ).filter("doc_id is not null")
+def simhash_components(docs: DataFrame, words: int = 3, max_bits: int = 3) -> DataFrame:
+    """``doc_id, fp, component_id`` of every row; fingerprints that differ in at most ``max_bits`` bits are linked."""
+    prints = settled(fingerprints(docs, words)).select("doc_id", "fp")
+    found = classes_of(prints, F.min("doc_id"), max_bits)
+    return prints.join(found.withColumnRenamed("best", "component_id"), "fp")
 
 
-def similar_components(docs: DataFrame, words: int = 5, similarity: float = 0.8, split: int = SPLIT_HASHES) -> DataFrame:
-    """``doc_id, component_id``: components of texts whose sets of ``words``-word shingles have that Jaccard similarity.
+def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 3, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The documents without those that another one of their component, with a smaller id, stands for.
 
-    Candidates share a band of minimum hashes of the shingles: SimHashes of 64
-    bits are some 10 bits apart at 0.8 with a deviation of 3, beyond the reach
-    of Golay keys.  Each candidate is verified by the shingle sets themselves.
-    Rows with a null id are not compared.
+    Rows that repeat an identifier and a text are one document; of an
+    identifier with several texts in a component one text stays; a null
+    identifier loses to any other.
     """
-    return _similar(_rows(docs), words, similarity, split).select("doc_id", "component_id")
-
+    prints = settled(fingerprints(docs, words, id_column, text_column))
+    gone_id, gone_text = unused("_gone", docs.columns), unused("_printed", docs.columns)
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "printed")
+    gone = (
+        prints.join(classes_of(prints, F.min(row), max_bits), "fp")
+        .filter(row != F.col("best"))
+        .select(F.col("doc_id").alias(gone_id), F.col("printed").alias(gone_text))
+        .distinct()
+    )
+    own = F.col(id_column).cast("long").eqNullSafe(F.col(gone_id)) & (F.xxhash64(whole_text(text_column)) == F.col(gone_text))
+    return docs.join(settled(gone), own, "left_anti")
 
-def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The documents without those that another one of their component, with a smaller id, stands for.
 
-    Of an id with several texts only the rows of those texts go.
-    """
-    found = _similar(_rows(docs), words, similarity, SPLIT_HASHES)
-    gone = found.filter("doc_id <> component_id").select("doc_id", "printed").distinct()
-    own = (docs["doc_id"].cast("long") == gone["doc_id"]) & (F.xxhash64(whole_text()) == gone["printed"])
-    return docs.join(gone, own, "left_anti")
+def query(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_components(table(spark, folder, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )

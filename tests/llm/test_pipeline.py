@@ -9,7 +9,7 @@ from collections import Counter
 import public_tokenizers
 import pytest
 import tiktoken
-from llm.brute import mixed
+from llm.brute import components, fingerprint, mixed, near
 
 import corpus_pipeline
 from paneltrend.llm.byte_bpe import read_ranks
@@ -36,10 +36,16 @@ def planted():
         rows.append([100 + k, texts[5], "aa", "hot"])
     left -= {5}
     left.add(109)
-    for k in range(8):  # near copies: the smallest id stays
+    for k in range(8):  # near copies, of which some are within three bits: the smallest id stays
         words = texts[70].split()
-        words[rng.randrange(len(words))] = "changed"
-        rows.append([200 + k, " ".join(words), "bb" if 70 % 4 == 0 else "aa", "s1"])
+        if k:
+            words[rng.randrange(len(words))] += "er"
+        rows.append([200 + k, " \t".join(words), "aa", "s1"])
+        left.add(200 + k)
+    texts = {r[0]: r[1] for r in rows if r[0] in left}
+    roots = components(sorted(texts), near({i: fingerprint(t) for i, t in texts.items()}, 3))
+    assert roots[200] == 70
+    left = set(roots.values())
     rows += [[300, None, None, None], [301, "", "aa", "s1"], [302, "1 2 3 !!", "aa", "s1"], [303, "@@@", None, "s2"]]
     rows.append([304, "κόσμε " * 200, None, "s2"])
     rng.shuffle(rows)
