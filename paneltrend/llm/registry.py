@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paneltrend.llm import byte_bpe, chat_format, collision_links, exact_dedup, html_main, language_id, mixing, simhash_golay, toxicity, url_filter
+from paneltrend.llm import (
+    byte_bpe,
+    chat_format,
+    collision_links,
+    conversation_repair,
+    exact_dedup,
+    html_main,
+    language_id,
+    mixing,
+    sharding,
+    simhash_golay,
+    toxicity,
+    url_filter,
+    vector_codes,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.query,
@@ -19,6 +33,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": exact_dedup.query,
     "op9_chat_formatting": chat_format.query,
     "op10_collision_links": collision_links.query,
+    "op11_balanced_shards": sharding.query,
+    "op12_vector_codes": vector_codes.query,
+    "op13_conversation_repair": conversation_repair.query,
 }
 
 ORACLES: dict[str, str] = {
@@ -26,4 +43,6 @@ ORACLES: dict[str, str] = {
     "op3_source_mixing": mixing.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
     "op9_chat_formatting": chat_format.SQL,
+    "op12_vector_codes": vector_codes.SQL,
+    "op13_conversation_repair": conversation_repair.SQL,
 }
