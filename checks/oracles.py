@@ -237,6 +237,23 @@ OPERATORS = {
 }
 OPERATORS["centred_max_explode"] = OPERATORS["centred_max"]
 
+# the same results by other means
+OPERATORS |= {
+    "rolling_blocks": OPERATORS["rolling_7"],
+    "rolling_raw_events_blocks": OPERATORS["rolling_raw_events"],
+    "rolling_back_update": OPERATORS["rolling_7"],
+    "centred_max_blocks": OPERATORS["centred_max"],
+    "first_difference_blocks": OPERATORS["first_difference"],
+    "compare_7_blocks": OPERATORS["compare_7"],
+    "compare_back_update": OPERATORS["compare_7"],
+    "stored_merge": OPERATORS["full_merge"],
+    "stored_rolling_7": OPERATORS["rolling_7"],
+    "stored_trailing_6w": OPERATORS["trailing_6w"],
+    "stored_trailing_6w_lag": OPERATORS["trailing_6w_lag"],
+    "stored_last_weekday_cut": up_to_weekday("hosp", 7, 2),
+    "stored_weekday": "select * from cdt where isodow(Date) = 4",
+}
+
 BASE = {
     "base_cases": "select * from base_cdt",
     "base_newly_reported": "select * from base_nr",

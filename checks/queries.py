@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from paneltrend import operators as ops
 from paneltrend.plans import SnapshotPlaces, base_bundle, hub_bundle, snapshot_bundle
-from paneltrend.plans.base import ROLLED, merge_case_and_hospital
+from paneltrend.plans.base import MERGED_COLUMNS, ROLLED, merge_case_and_hospital
 from paneltrend.plans.hub import (
     CASE_CHANGES,
     COMPARED,
@@ -20,7 +22,7 @@ from paneltrend.plans.hub import (
 )
 from paneltrend.plans.snapshot import SLICED
 from paneltrend.functions import local_time
-from paneltrend.sources import TpchPanels, conform, dimension_tables
+from paneltrend.sources import PanelStore, TpchPanels, conform, dimension_tables, store_panels
 from paneltrend.specs import IDS, ChangeWindow, MeasureSpec, RollSpec
 
 AS_OF = dt.date(2001, 6, 15)
@@ -46,6 +48,51 @@ MIXED_GRID = (ChangeWindow(7, 0, "Per100K"), ChangeWindow(14, 10, "Raw"), Change
 Query = Callable[[TpchPanels], DataFrame]
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder below the shared one; a temporary one in a session within one process that has none."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None and not spark.sparkContext.master.startswith(("local[", "local*")) and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return f"{shared or tempfile.mkdtemp(prefix='checks-')}/{uuid.uuid4().hex}"
+
+
+def panel_store(p: TpchPanels) -> PanelStore:
+    """Case and hospital panels, stored by month and bucket."""
+    spark = p.cdt.sparkSession
+    return store_panels(spark, {"cdt": p.cdt, "hosp": p.hosp}, f"panels_{uuid.uuid4().hex}", scratch(spark))
+
+
+def stored_panel(store: PanelStore, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
+    return ops.reported_sums(store.merged("cdt", "hosp", first, last)).select(*MERGED_COLUMNS)
+
+
+def stored_trailing(p: TpchPanels, days: int, lag: int) -> DataFrame:
+    store = panel_store(p)
+    end = store.newest() - dt.timedelta(lag)
+    return stored_panel(store, end - dt.timedelta(days), end)
+
+
+def earlier_state(df: DataFrame) -> DataFrame:
+    """A panel before a back-update: some reports lack, some have other values, some are there that are withdrawn."""
+    told = F.pmod(F.xxhash64("GeoID", "Date"), F.lit(41))
+    other = df.withColumn("CasesNew", F.when(told == 1, F.col("CasesNew") + 3).otherwise(F.col("CasesNew")))
+    withdrawn = df.where(told == 2).withColumn("Date", F.date_add("Date", 4000))
+    return other.where(told != 0).unionByName(withdrawn)
+
+
+def roll_after_update(p: TpchPanels) -> ops.Rebuilt:
+    now, was = panel(p), earlier_state(panel(p))
+    rolled = ops.rolling_summary(was, 7, ROLLED)
+    return ops.roll_again(rolled, now, ops.changed_days(was, now), 7, ROLLED)
+
+
+def comparison_after_update(p: TpchPanels) -> DataFrame:
+    wide = ops.with_previous(ops.rolling_summary(earlier_state(panel(p)), 7, ROLLED), COMPARED)
+    rolled = roll_after_update(p)
+    again = ops.compare_again(wide, rolled.table, rolled.touched, COMPARED)
+    return ops.compare_wide(again.table, COMPARED)
+
+
 def panel(p: TpchPanels) -> DataFrame:
     """Merged case and hospital panel over all nations."""
     return merge_case_and_hospital(p.cdt, p.hosp)
@@ -100,6 +147,14 @@ OPERATORS: Mapping[str, Query] = {
     "rolling_raw_events": lambda p: ops.rolling_summary(
         p.events, 7, CLICKS, ids=("GeoID", "Date", "event_id"), strategy="explode"
     ),
+    "rolling_blocks": lambda p: ops.rolling_summary(panel(p), 7, ROLLED, strategy="blocks"),
+    "rolling_raw_events_blocks": lambda p: ops.rolling_summary(
+        p.events, 7, CLICKS, ids=("GeoID", "Date", "event_id"), strategy="blocks"
+    ),
+    "rolling_back_update": lambda p: roll_after_update(p).table,
+    "centred_max_blocks": lambda p: ops.rolling_max(
+        p.hosp, "HospitalsReporting", "HospitalsTotal", strategy="blocks"
+    ),
     "centred_max": lambda p: ops.rolling_max(p.hosp, "HospitalsReporting", "HospitalsTotal"),
     "centred_max_explode": lambda p: ops.rolling_max(
         p.hosp, "HospitalsReporting", "HospitalsTotal", strategy="explode"
@@ -124,9 +179,17 @@ OPERATORS: Mapping[str, Query] = {
     "latest_per_measure": lambda p: ops.latest_per_key(
         ops.compare_periods(panel_roll(p, 7), COMPARED), ("GeoID", "Measure")
     ),
+    # stored panels
+    "stored_merge": lambda p: panel_store(p).merged("cdt", "hosp"),
+    "stored_rolling_7": lambda p: ops.rolling_summary(stored_panel(panel_store(p)), 7, ROLLED),
+    "stored_trailing_6w": lambda p: stored_trailing(p, 42, 0),
+    "stored_trailing_6w_lag": lambda p: stored_trailing(p, 42, 10),
+    "stored_last_weekday_cut": lambda p: panel_store(p).cut_to_weekday("hosp", WEEKDAY, 2),
+    "stored_weekday": lambda p: panel_store(p).thin_to_weekday("cdt", WEEKDAY, 10),
     # derived measures
     "hospital_derive": lambda p: ops.hospital_measures(p.hosp),
     "age_bands": lambda p: ops.age_bands(p.vacc_cdc),
+    "first_difference_blocks": lambda p: ops.daily_vaccinations(p.vacc, strategy="blocks"),
     "first_difference": lambda p: ops.daily_vaccinations(p.vacc),
     "cdc_rates": lambda p: ops.vaccination_rates(ops.age_bands(p.vacc_cdc)),
     "guarded_ratio_kpi": lambda p: ops.against_testing_targets(panel_roll(p, 7), p.population).select(
@@ -160,6 +223,8 @@ OPERATORS: Mapping[str, Query] = {
     "compare_weekly_lag1": lambda p: ops.compare_periods(
         weekly_points(p), COMPARED, 7, lag=1
     ),
+    "compare_7_blocks": lambda p: ops.compare_periods(panel_roll(p, 7), COMPARED, strategy="blocks"),
+    "compare_back_update": comparison_after_update,
     "compare_latest": lambda p: ops.compare_wide(
         ops.latest_per_key(ops.cut_to_lag(ops.with_previous(panel_roll(p, 7), COMPARED), 10)),
         COMPARED,

@@ -1,5 +1,6 @@
 """Panel operators: each takes DataFrames and returns a lazy DataFrame."""
 
+from .backfill import Rebuilt, changed_days, compare_again, key_month_digests, roll_again
 from .compare import compare_periods, compare_wide, with_previous
 from .criteria import criteria_summary
 from .cutoffs import (
@@ -32,6 +33,7 @@ from .derive import (
 from .drift import dimension_drift, drift_counts, drift_report, has_drifted
 from .latest import latest_per_key
 from .merge import in_key_set, lookup, merge_panels, repeated_keys, site_bridge
+from .positions import positioned, with_earlier
 from .periods import period_table
 from .recency import change_since
 from .reshape import stack

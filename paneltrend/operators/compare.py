@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import change_kpi, guarded_ratio
 from ..specs import DATE, IDS, KEY, KpiBand, MeasureSpec
+from .positions import check_lag_strategy, with_earlier
 from .reshape import common_number, stack
 
 
@@ -21,15 +22,24 @@ def with_previous(
     ids: Sequence[str] = IDS,
     key: str = KEY,
     date: str = DATE,
+    strategy: str = "window",
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """Wide panel with ``_prev_{measure}``: the value ``lag`` rows back in the key.
 
     The lag counts rows, not days, and is taken while the panel is wide: one
     lag per measure over the partitioning the rolling summary already has,
-    instead of one over a table ``len(measures)`` times as long.
+    instead of one over a table ``len(measures)`` times as long.  With
+    ``strategy="blocks"`` no task holds a key (see :mod:`.positions`); ``ties``
+    orders the rows that a key has on one day.
     """
+    check_lag_strategy(strategy)
     step = days if lag is None else lag
     names = [m.name(days) for m in measures]
+    if strategy == "blocks":
+        kept = df.select(*dict.fromkeys((*ids, *names, *ties)))
+        placed = with_earlier(kept, {f"_prev_{n}": n for n in names}, step, ties=ties, key=key, date=date)
+        return placed.select(*ids, *names, *(f"_prev_{n}" for n in names))
     previous = [
         f"lag(`{n}`, {step}) over (partition by `{key}` order by `{date}`) as `_prev_{n}`"
         for n in names
@@ -93,11 +103,15 @@ def compare_periods(
     key: str = KEY,
     date: str = DATE,
     band: KpiBand = KpiBand(),
+    strategy: str = "window",
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """Current and earlier value, change, ratio and KPI per row and measure.
 
     ``DatePrev`` is the calendar date ``days`` earlier even where, on a panel
     with gaps, the row compared with is older.  0 against 0 counts as ratio 1.
     """
-    wide = with_previous(df, measures, days, lag, ids=ids, key=key, date=date)
+    wide = with_previous(
+        df, measures, days, lag, ids=ids, key=key, date=date, strategy=strategy, ties=ties
+    )
     return compare_wide(wide, measures, days, ids=ids, date=date, band=band)

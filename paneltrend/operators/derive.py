@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from ..functions import floor_at_zero, guarded_ratio, target_kpi
 from ..specs import DATE, KEY
 from .merge import lookup
+from .positions import check_lag_strategy, with_earlier
 from .rolling import rolling_max
 
 # Hospital resources as (all used, used for the disease, free,
@@ -138,9 +139,24 @@ def age_bands(df: DataFrame) -> DataFrame:
 
 
 def first_difference(
-    df: DataFrame, columns: Mapping[str, str], key: str = KEY, date: str = DATE
+    df: DataFrame,
+    columns: Mapping[str, str],
+    key: str = KEY,
+    date: str = DATE,
+    strategy: str = "window",
+    ties: Sequence[str] = (),
 ) -> DataFrame:
-    """Set each new column to the change of its source since the key's last report."""
+    """Set each new column to the change of its source since the key's last report.
+
+    With ``strategy="blocks"`` no task holds a key (see :mod:`.positions`);
+    ``ties`` orders the rows that a key has on one day.
+    """
+    check_lag_strategy(strategy)
+    if strategy == "blocks":
+        earlier = {f"_last_{new}": source for new, source in columns.items()}
+        found = with_earlier(df, earlier, 1, ties=ties, key=key, date=date)
+        changes = {new: F.col(source) - F.col(f"_last_{new}") for new, source in columns.items()}
+        return found.withColumns(changes).drop(*earlier)
     reports = Window.partitionBy(key).orderBy(date)
     return df.withColumns(
         {
@@ -150,7 +166,7 @@ def first_difference(
     )
 
 
-def daily_vaccinations(df: DataFrame) -> DataFrame:
+def daily_vaccinations(df: DataFrame, strategy: str = "window") -> DataFrame:
     """New doses and regimens per report, running totals renamed, shares of people."""
     daily = first_difference(
         df,
@@ -159,6 +175,7 @@ def daily_vaccinations(df: DataFrame) -> DataFrame:
             "RegimenInitiated_New": "RegimenInitiated_Count",
             "RegimenCompleted_New": "RegimenCompleted_Count",
         },
+        strategy=strategy,
     ).withColumnsRenamed(
         {
             "RegimenInitiated_Count": "RegimenInitiated_Total",

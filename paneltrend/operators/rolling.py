@@ -1,6 +1,6 @@
 """Calendar-range rolling totals, averages and maxima.
 
-Two strategies give the same rows:
+Three strategies give the same rows:
 
 ``window``
     one range frame per measure, partitioned by key.  Right for panels: with
@@ -14,6 +14,15 @@ Two strategies give the same rows:
     share of the table.  Rows are first reduced to daily partials (combined
     before the shuffle), each day is spread over the days it counts for, and
     the sums are joined back on key *and* day.  No task ever holds a whole key.
+
+``blocks``
+    as ``explode``, with a cost that does not grow with the range.  Days are
+    cut into blocks as long as the range, so a range reaches into two blocks at
+    most: the end of one and the beginning of the next.  Each daily partial
+    asks its own block for what lies up to the range's end and the block before
+    for what lies from the range's start on; running sums within a block answer
+    both, three rows a day however long the range is.  A group is one key in
+    one block.  Nothing is subtracted, so maxima work the same way.
 """
 
 from __future__ import annotations
@@ -22,11 +31,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import derive, guarded_ratio
 from ..specs import DATE, IDS, KEY, RollSpec
 
-STRATEGIES = ("window", "explode")
+STRATEGIES = ("window", "explode", "blocks")
 
 
 def _check(strategy: str) -> None:
@@ -62,6 +72,51 @@ def _spread(df: DataFrame, before: int, after: int, key: str, date: str) -> Data
     return df.select(key, F.explode(days).alias(date), *values)
 
 
+def _by_blocks(
+    daily: DataFrame, function: str, before: int, after: int, key: str, date: str
+) -> DataFrame:
+    """``function`` (sum or max) of each value column over the days around each daily row."""
+    width = before + after + 1
+    values = [c for c in daily.columns if c not in (key, date)]
+    day = F.unix_date(date)
+
+    def block(at: Column) -> Column:
+        return at - F.pmod(at, F.lit(width))
+
+    def event(at: Column, kind: int) -> Column:
+        asked = F.lit(None).cast("int") if kind == 0 else day
+        held = [F.col(c) if kind == 0 else F.lit(None).cast(daily.schema[c].dataType) for c in values]
+        return F.struct(
+            block(at).alias("_block"),
+            at.alias("_at"),
+            F.lit(kind).alias("_kind"),
+            asked.alias("_asked"),
+            *(h.alias(c) for h, c in zip(held, values)),
+        )
+
+    end, start = day + after, day - before
+    events = F.array(event(day, 0), event(end, 1), event(start, 2))
+    # a range that fills one block is answered by its end alone
+    asking = daily.select(key, F.inline(events)).where(
+        (F.col("_kind") < 2) | (F.col("_block") + width <= F.col("_at") + before + after)
+    )
+    group = Window.partitionBy(key, "_block").orderBy("_at")
+    upto = group.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    onward = group.rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    combine = {"sum": F.sum, "max": F.max}[function]
+    told = asking.withColumns(
+        {
+            c: F.when(F.col("_kind") == 1, combine(c).over(upto)).otherwise(combine(c).over(onward))
+            for c in values
+        }
+    )
+    return (
+        told.where("_kind > 0")
+        .groupBy(key, F.date_from_unix_date("_asked").alias(date))
+        .agg(*(combine(c).alias(c) for c in values))
+    )
+
+
 def rolling_summary(
     df: DataFrame,
     days: int,
@@ -80,8 +135,8 @@ def rolling_summary(
     """
     _check(strategy)
     source = derive(df, [(s.variable, s.expr) for s in specs if s.expr])
-    if strategy == "explode":
-        return _rolling_by_explode(source, days, specs, ids, key, date)
+    if strategy != "window":
+        return _rolling_by_days(source, days, specs, ids, key, date, strategy)
 
     rolled = []
     for spec in specs:
@@ -95,13 +150,14 @@ def rolling_summary(
     return source.selectExpr(*[f"`{c}`" for c in ids], *rolled)
 
 
-def _rolling_by_explode(
+def _rolling_by_days(
     source: DataFrame,
     days: int,
     specs: Sequence[RollSpec],
     ids: Sequence[str],
     key: str,
     date: str,
+    strategy: str,
 ) -> DataFrame:
     partials = []
     merges = []
@@ -112,7 +168,10 @@ def _rolling_by_explode(
         ]
         merges += [F.sum(f"_sum{i}").alias(f"_sum{i}"), F.sum(f"_n{i}").alias(f"_n{i}")]
     daily = source.where(_known(key, date)).groupBy(key, date).agg(*partials)
-    sums = _spread(daily, days - 1, 0, key, date).groupBy(key, date).agg(*merges)
+    if strategy == "blocks":
+        sums = _by_blocks(daily, "sum", days - 1, 0, key, date)
+    else:
+        sums = _spread(daily, days - 1, 0, key, date).groupBy(key, date).agg(*merges)
 
     named = []
     for i, spec in enumerate(specs):
@@ -145,10 +204,10 @@ def rolling_max(
         )
 
     daily = df.where(_known(key, date)).groupBy(key, date).agg(F.max(column).alias("_max"))
-    peaks = (
-        _spread(daily, before, after, key, date)
-        .groupBy(key, date)
-        .agg(F.max("_max").alias("_max"))
-    )
+    if strategy == "blocks":
+        peaks = _by_blocks(daily, "max", before, after, key, date)
+    else:
+        spread = _spread(daily, before, after, key, date)
+        peaks = spread.groupBy(key, date).agg(F.max("_max").alias("_max"))
     joined = df.join(peaks, [key, date], "left").withColumn(name, F.col("_max"))
     return joined.select(*df.columns, *([] if name in df.columns else [name]))

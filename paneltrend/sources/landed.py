@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -69,22 +71,33 @@ def read_panel(
     """One named input from landed files.  Unknown names and formats are errors.
 
     Whole numbers may be written ``5``, ``5.0`` or ``"5"``.  A malformed record
-    and a value that can't be typed fail the job that meets them, or with
-    ``on_bad="reject"`` leave the panel for :func:`rejected_rows`, as rows
-    without key or date always do.  A column of ``required`` (default: all of
-    the dataset) that the files lack is an error at once; JSON records may leave
-    out fields.  ``keep`` names further columns, kept as they are.
+    and a value that can't be typed fail the job that meets them.  Every column
+    checks its own values, so a plan reads and checks the columns it uses and no
+    others; what is stored in its type needs no check and takes pushed filters.
+    Rows without key or date always leave the panel.
+
+    With ``on_bad="reject"`` a row with any bad value leaves the panel too, for
+    :func:`rejected_rows`; whether it does is the same for every plan, so the
+    columns that could be bad are all read.  :func:`split_panel` reads the files
+    once for both.
+
+    A column of ``required`` (default: all of the dataset) that the files lack
+    is an error at once; JSON records may leave out fields.  ``keep`` names
+    further columns, kept as they are.
     """
     if on_bad not in ("raise", "reject"):
         raise ValueError(f"on_bad must be 'raise' or 'reject', not {on_bad!r}")
-    checked, columns = _checked(spark, name, path, fmt, required, keep, options)
-    if on_bad == "raise":
-        said = F.concat(F.lit(f"{name}: "), F.col("_why"), F.lit(" in "), F.col("_record"))
-        fine = F.when(F.col("_why").isNull(), True).when(F.col("_why") == UNKEYED, False)
-        good = checked.where(fine.otherwise(F.raise_error(said).cast("boolean")))
-    else:
-        good = checked.where(F.col("_why").isNull())
-    return good.select(*columns)
+    landed = _landed(spark, name, path, fmt, required, keep, options)
+    keyed = F.lit(True)
+    for key in REPORT_KEYS:
+        keyed = keyed & F.col(key).isNotNull()
+    if on_bad == "reject":
+        return landed.raw.where(landed.why().isNull()).select(*landed.typed()).where(keyed)
+    rows = landed.raw
+    if landed.malformed is not None:
+        said = F.concat(F.lit(f"{name}: {MALFORMED} in "), F.col(CORRUPT))
+        rows = rows.where(F.when(landed.malformed, F.raise_error(said).cast("boolean")).otherwise(True))
+    return rows.select(*landed.typed(name)).where(keyed)
 
 
 def rejected_rows(
@@ -96,11 +109,65 @@ def rejected_rows(
     keep: Sequence[str] = (),
     **options: str,
 ) -> DataFrame:
-    """``dataset, reason, record`` of every row that :func:`read_panel` leaves out."""
-    checked, _ = _checked(spark, name, path, fmt, required, keep, options)
-    return checked.where(F.col("_why").isNotNull()).select(
-        F.lit(name).alias("dataset"), F.col("_why").alias("reason"), F.col("_record").alias("record")
+    """``dataset, reason, record`` of every row that :func:`read_panel` leaves out or fails on."""
+    landed = _landed(spark, name, path, fmt, required, keep, options)
+    told = landed.raw.select(F.lit(name).alias("dataset"), landed.reason().alias("reason"), landed.record().alias("record"))
+    return told.where(F.col("reason").isNotNull())
+
+
+@dataclass(frozen=True)
+class SplitPanel:
+    """What :func:`split_panel` has written: two folders, and rows by reason (``""``: the panel's)."""
+
+    panel_path: str
+    rejects_path: str
+    counts: Mapping[str, int]
+
+    def panel(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(self.panel_path).drop("reason", "record")
+
+    def rejects(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(self.rejects_path).select("reason", "record")
+
+
+def split_panel(
+    spark: SparkSession,
+    name: str,
+    path: str,
+    folder: str,
+    fmt: str = "parquet",
+    required: Sequence[str] | None = None,
+    keep: Sequence[str] = (),
+    **options: str,
+) -> SplitPanel:
+    """Typed rows, rejects and their counts from one read of the files, as Parquet below ``folder``.
+
+    Each record is tagged once and written to one of two folders; the counts are
+    observed on the way.  The panel's files are typed, so plans over them prune
+    columns and push filters.
+    """
+    landed = _landed(spark, name, path, fmt, required, keep, options)
+    typed = landed.raw.select(landed.reason().alias("reason"), landed.record().alias("record"), F.struct(*landed.typed()).alias("row"))
+    good = F.col("reason").isNull()
+    seen = Observation(f"split {name} {uuid.uuid4().hex}")
+    reasons = landed.reasons()
+    counted = typed.observe(
+        seen,
+        F.count_if(good).alias("n"),
+        *(F.count_if(F.col("reason") == r).alias(f"r{i}") for i, r in enumerate(reasons)),
     )
+    parts = counted.select(
+        F.when(good, "panel").otherwise("rejects").alias("part"),
+        "reason",
+        F.when(~good, F.col("record")).alias("record"),
+        *(F.when(good, F.col(f"row.{c}")).alias(c) for c in typed.schema["row"].dataType.names),
+    )
+    parts.write.partitionBy("part").parquet(folder)
+    for part in ("panel", "rejects"):  # a part without rows has its schema all the same
+        parts.drop("part").limit(0).write.mode("append").parquet(f"{folder}/part={part}")
+    got = seen.get
+    counts = {"": got["n"]} | {r: got[f"r{i}"] for i, r in enumerate(reasons) if got[f"r{i}"]}
+    return SplitPanel(f"{folder}/part=panel", f"{folder}/part=rejects", counts)
 
 
 def read_bundle(
@@ -161,42 +228,151 @@ def dimension_tables(
     return tables | {name: table for name, table in others.items() if table is not None}
 
 
+class VersionConflict(RuntimeError):
+    """Another refresh has committed a version since the one this refresh was to follow."""
+
+
 def refresh_dimensions(
     jurisdictions: DataFrame,
     folder: str,
     key_sets: DataFrame | None = None,
     pretty: DataFrame | None = None,
+    follows: int | None = None,
 ) -> dict[str, str]:
-    """Store the dimension tables as one new version of ``folder``; gives their paths.
-
-    All tables are written to a version of their own first.  The version counts
-    once its last file, the list of its tables, is there, so a run that fails
-    leaves the version before in force; see :func:`latest_dimensions`.
+    """Store the dimension tables as one new version of ``folder``; gives the paths of all its tables.
+
+    The tables are written to a folder of their own first.  Then the version's
+    manifest, the list of all its tables, is created under the next number,
+    which only one refresh can do: what the other has written comes as one
+    later version or not at all, and a run that fails leaves the version before
+    in force.  Tables that are not given are those of the version it follows.
+    With ``follows`` (0: none) that must still be the newest one, else
+    :class:`VersionConflict` is raised and nothing is committed.
     """
     tables = dimension_tables(jurisdictions, key_sets, pretty)
     spark = jurisdictions.sparkSession
-    version = f"{folder}/version={uuid.uuid4().hex}"
+    own = f"{folder}/tables={uuid.uuid4().hex}"
     for name, table in tables.items():
-        table.write.parquet(f"{version}/{name}")
-    listed = [(name, f"{version}/{name}") for name in tables]
-    spark.createDataFrame(listed, "name string, path string").withColumn("at", F.current_timestamp()).write.mode(
-        "append"
-    ).parquet(f"{folder}/versions")
-    return dict(listed)
+        table.write.parquet(f"{own}/{name}")
+    written = {name: f"{own}/{name}" for name in tables}
+    while True:
+        newest = max(dimension_versions(spark, folder), default=0)
+        if follows is not None and newest != follows:
+            raise VersionConflict(f"{folder}: version {newest} is there, not {follows}")
+        paths = (dimension_paths(spark, folder, newest) if newest else {}) | written
+        manifest = json.dumps({"version": newest + 1, "follows": newest, "tables": paths}, sort_keys=True)
+        if _create(spark, _manifest_path(folder, newest + 1), manifest):
+            return paths
+
+
+def dimension_versions(spark: SparkSession, folder: str) -> list[int]:
+    """The numbers of the committed versions, ascending."""
+    path, files = _hadoop(spark, f"{folder}/versions")
+    if not files.exists(path):
+        return []
+    names = [f.getPath().getName() for f in files.listStatus(path)]
+    return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and n[0].isdigit())
+
+
+def dimension_paths(spark: SparkSession, folder: str, version: int) -> dict[str, str]:
+    """The table paths of one version."""
+    if version not in dimension_versions(spark, folder):
+        raise ValueError(f"{folder}: no version {version}")
+    (row,) = spark.read.text(_manifest_path(folder, version), wholetext=True).collect()
+    return json.loads(row[0])["tables"]
 
 
 def latest_dimensions(spark: SparkSession, folder: str) -> dict[str, str]:
-    """The table paths of the newest whole version in ``folder``."""
-    newest = spark.read.parquet(f"{folder}/versions").groupBy("name").agg(F.max_by("path", "at").alias("path"))
-    return {r["name"]: r["path"] for r in newest.collect()}
+    """The table paths of the newest version in ``folder``."""
+    return dimension_paths(spark, folder, max(dimension_versions(spark, folder), default=0))
+
+
+def _manifest_path(folder: str, version: int) -> str:
+    return f"{folder}/versions/{version:08d}.json"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """A path and its file system, as Spark itself reaches them."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _create(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file whole, unless it is there: written aside, then renamed, which never replaces a file.
+
+    The rename is what decides between two writers, so readers see no half
+    manifests.  Stores without an atomic rename that keeps an existing target
+    need one that has it for this folder.
+    """
+    final, files = _hadoop(spark, path)
+    aside, _ = _hadoop(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    out = files.create(aside, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(final.toUri(), spark._jsc.hadoopConfiguration())
+    none = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(aside, final, none)
+        return True
+    except Py4JJavaError as error:
+        if not error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            raise
+        files.delete(aside, False)
+        return False
 
 
 # -- typed reading --------------------------------------------------------------
 
 UNKEYED = "no key or date"
+MALFORMED = "malformed record"
 
 
-def _checked(
+@dataclass(frozen=True)
+class _Landed:
+    """Records as they are, with each column's typed value and, where it may fail, the test for a bad one."""
+
+    raw: DataFrame
+    values: Mapping[str, Column]
+    bad: Mapping[str, Column]
+    keep: tuple[str, ...]
+
+    @property
+    def malformed(self) -> Column | None:
+        return F.col(CORRUPT).isNotNull() if CORRUPT in self.raw.columns else None
+
+    def typed(self, fail_as: str | None = None) -> list[Column]:
+        """The typed columns; with a dataset's name each fails on its own bad values."""
+        out = []
+        for name, value in self.values.items():
+            if fail_as is not None and name in self.bad:
+                said = F.concat(F.lit(f"{fail_as}: bad {name} in "), F.col(name).cast("string"))
+                kind = self.raw.select(value).schema[0].dataType
+                value = F.when(self.bad[name], F.raise_error(said).cast(kind)).otherwise(value)
+            out.append(value.alias(name))
+        return [*out, *(F.col(c) for c in self.keep)]
+
+    def why(self) -> Column:
+        """What is wrong with a record beyond a lacking key, else NULL."""
+        found = F.when(F.lit(False) if self.malformed is None else self.malformed, F.lit(MALFORMED))
+        for name, bad in self.bad.items():
+            found = found.when(bad, F.lit(f"bad {name}"))
+        return found
+
+    def reason(self) -> Column:
+        unkeyed = F.lit(False)
+        for key in REPORT_KEYS:
+            unkeyed = unkeyed | self.values[key].isNull()
+        return F.coalesce(self.why(), F.when(unkeyed, F.lit(UNKEYED)))
+
+    def reasons(self) -> list[str]:
+        return [MALFORMED, *(f"bad {name}" for name in self.bad), UNKEYED]
+
+    def record(self) -> Column:
+        whole = F.to_json(F.struct(*[c for c in self.raw.columns if c != CORRUPT]))
+        return whole if self.malformed is None else F.coalesce(F.col(CORRUPT), whole)
+
+
+def _landed(
     spark: SparkSession,
     name: str,
     path: str,
@@ -204,8 +380,7 @@ def _checked(
     required: Sequence[str] | None,
     keep: Sequence[str],
     options: Mapping[str, str],
-) -> tuple[DataFrame, list[Column]]:
-    """The records typed, with ``_why`` one is bad (NULL if it is not) and the ``_record`` itself."""
+) -> _Landed:
     if name not in PANELS:
         raise ValueError(f"unknown dataset {name!r}; use one of {', '.join(PANELS)}")
     fields = T.StructType.fromDDL(PANELS[name]).fields
@@ -220,26 +395,23 @@ def _checked(
         if strange:
             raise ValueError(f"{name}: unknown column {', '.join(strange)} in {path}; name it in keep")
 
-    typed: list[Column] = []
-    why = F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed record")) if CORRUPT in raw.columns else F.when(F.lit(False), "")
+    values, bad = {}, {}
     for field in fields:
         if field.name not in raw.columns:
             continue
-        value = _value(raw, field)
-        typed.append(value.alias(field.name))
-        given = F.trim(F.col(field.name).cast("string"))
-        bad = value.isNull() & given.isNotNull() & (given != "")
-        why = why.when(bad, F.lit(f"bad {field.name}"))
-    unkeyed = F.lit(False)
-    for key in REPORT_KEYS:
-        unkeyed = unkeyed | F.col(f"_typed.{key}").isNull()
-    record = F.col(CORRUPT) if CORRUPT in raw.columns else F.lit(None).cast("string")
-    whole = F.to_json(F.struct(*[c for c in raw.columns if c != CORRUPT]))
-    checked = raw.select(
-        F.struct(*typed, *keep).alias("_typed"), F.coalesce(record, whole).alias("_record"), why.alias("_why")
-    ).withColumn("_why", F.coalesce("_why", F.when(unkeyed, F.lit(UNKEYED))))
-    names = [f.name for f in fields if f.name in raw.columns]
-    return checked, [F.col(f"_typed.{c}").alias(c) for c in (*names, *keep)]
+        values[field.name] = _value(raw, field)
+        if not _fits(raw, field):
+            given = F.trim(F.col(field.name).cast("string"))
+            bad[field.name] = values[field.name].isNull() & given.isNotNull() & (given != "")
+    return _Landed(raw, values, bad, tuple(keep))
+
+
+def _fits(raw: DataFrame, field: T.StructField) -> bool:
+    """Whether every stored value can be typed."""
+    stored = raw.schema[field.name].dataType
+    if field.name in ("Date", "LastUpdated"):
+        return _is_time(raw, field.name)
+    return isinstance(field.dataType, T.StringType) or isinstance(stored, T.IntegralType)
 
 
 def _value(raw: DataFrame, field: T.StructField) -> Column:

@@ -9,7 +9,7 @@ from paneltrend.operators import rolling_max, rolling_summary
 from paneltrend.specs import RollSpec
 
 BOTH = (RollSpec("x"),)
-STRATEGIES = ("window", "explode")
+STRATEGIES = ("window", "explode", "blocks")
 
 
 @pytest.mark.parametrize("strategy", STRATEGIES)

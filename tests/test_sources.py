@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from paneltrend.functions import local_time, utc_instant
 from paneltrend.sources import (
+    VersionConflict,
+    dimension_paths,
+    dimension_versions,
     export_bundle,
     latest_dimensions,
     read_bundle,
@@ -18,6 +21,7 @@ from paneltrend.sources import (
     read_panel,
     refresh_dimensions,
     rejected_rows,
+    split_panel,
 )
 
 
@@ -215,3 +219,131 @@ def test_dimensions_refresh_and_read(spark, tmp_path):
     # a version that was not finished is not in force
     upstream.write.parquet(f"{tmp_path}/version=unfinished/pop")
     assert latest_dimensions(spark, str(tmp_path)) == paths
+
+
+def hospital_files(spark, folder):
+    """Typed Parquet of all hospital columns, but for one that is stored as text."""
+    from paneltrend.sources.schemas import HOSPITAL_MEASURES
+
+    rows = spark.range(60).select(
+        *(F.lit("x").alias(c) for c in ("Jurisdiction", "State", "Region")),
+        F.concat(F.lit("k"), F.col("id") % 3).alias("GeoID"),
+        F.date_add(F.lit(day(0)), (F.col("id") / 3).cast("int")).alias("Date"),
+        *(F.col("id").alias(m) for m in HOSPITAL_MEASURES if m != "BedsUsed"),
+        F.when(F.col("id") == 7, "many").otherwise(F.col("id").cast("string")).alias("BedsUsed"),
+    )
+    rows.write.parquet(folder)
+    return folder
+
+
+def test_a_plan_reads_and_checks_its_own_columns(spark, tmp_path):
+    path = hospital_files(spark, str(tmp_path / "h"))
+    panel = read_panel(spark, "Hospital", path)
+    assert len(panel.columns) == 26
+    few = panel.select("GeoID", "Date", "BedsTotal").where(F.col("Date") >= F.lit(day(5)))
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    (read,) = {line.split("ReadSchema: ")[1] for line in plan.splitlines() if "ReadSchema" in line}
+    assert read.startswith("struct<GeoID:string,Date:date,BedsTotal:bigint>")
+    assert "GreaterThanOrEqual(Date,2021-03-06)" in plan
+    # the bad value is in a column that this plan doesn't use
+    assert few.count() == 45
+    with pytest.raises(PySparkException, match="Hospital: bad BedsUsed in many"):
+        panel.select("GeoID", "BedsUsed").collect()
+    (bad,) = rejected_rows(spark, "Hospital", path).collect()
+    assert bad["reason"] == "bad BedsUsed" and '"BedsUsed":"many"' in bad["record"]
+    # a rejected row is left out whatever the plan uses
+    good = read_panel(spark, "Hospital", path, on_bad="reject")
+    assert good.select("GeoID", "Date", "BedsTotal").count() == good.count() == 59
+
+
+@pytest.mark.parametrize("fmt", ["json", "csv"])
+def test_panel_rejects_and_counts_from_one_read(spark, tmp_path, fmt):
+    lines = BAD_JSON if fmt == "json" else BAD_CSV
+    (tmp_path / f"x.{fmt}").write_text("\n".join(lines) + "\n")
+    given = dict(path=str(tmp_path / f"x.{fmt}"), fmt=fmt, required=("CasesNew", "DeathsNew"), keep=("note",))
+    split = split_panel(spark, "CDT", folder=str(tmp_path / "out"), **given)
+    panel = split.panel(spark)
+    want = read_panel(spark, "CDT", on_bad="reject", **given)
+    assert dict(panel.dtypes) == dict(want.dtypes)
+    assert rows_of(panel, *want.columns) == rows_of(want, *want.columns)
+    rejects = Counter((r["reason"], r["record"]) for r in split.rejects(spark).collect())
+    assert rejects == Counter((r["reason"], r["record"]) for r in rejected_rows(spark, "CDT", **given).collect())
+    reasons = Counter(reason for reason, _ in rejects.elements())
+    assert split.counts == {"": panel.count(), **reasons}
+
+
+def test_a_panel_without_rejects_or_rows(spark, tmp_path):
+    path = landed_json(tmp_path / "cdt", [report("a", "2021-03-01", CasesNew=1)])
+    split = split_panel(spark, "CDT", path, str(tmp_path / "out"), "json")
+    assert split.counts == {"": 1} and split.rejects(spark).count() == 0
+    nothing = landed_json(tmp_path / "none", [])
+    split = split_panel(spark, "CDT", nothing, str(tmp_path / "out2"), "json")
+    assert split.counts == {"": 0} and split.panel(spark).count() == 0
+    assert split.panel(spark).columns == read_panel(spark, "CDT", nothing, "json").columns
+
+
+@pytest.fixture
+def upstream(spark):
+    schema = "Jurisdiction string, Region string, State string, GeoID string, Population int"
+    return lambda n: spark.createDataFrame([("Ja", "R", "S", "a", n)], schema)
+
+
+def populations(spark, paths):
+    return [r["Population"] for r in read_dimensions(spark, paths).population.collect()]
+
+
+def test_versions_are_whole(spark, tmp_path, upstream):
+    folder = str(tmp_path / "dims")
+    sets = spark.createDataFrame([("base", "a")], "set_name string, GeoID string")
+    pretty = spark.createDataFrame([("A", "a", "Aa", 1)], "Site string, GeoID string, NiceName string, DisplayOrder int")
+    assert dimension_versions(spark, folder) == []
+    with pytest.raises(ValueError, match="no version 0"):
+        latest_dimensions(spark, folder)
+    first = refresh_dimensions(upstream(1), folder, sets, pretty, follows=0)
+    second = refresh_dimensions(upstream(2), folder)
+    # tables that were not given are those of the version before
+    assert second["key_sets"] == first["key_sets"] and second["pop"] != first["pop"]
+    assert latest_dimensions(spark, folder) == second
+    assert dimension_versions(spark, folder) == [1, 2]
+    # an old version can be read
+    assert dimension_paths(spark, folder, 1) == first
+    assert populations(spark, dimension_paths(spark, folder, 1)) == [1]
+    with pytest.raises(VersionConflict, match="version 2 is there, not 1"):
+        refresh_dimensions(upstream(3), folder, follows=1)
+    assert latest_dimensions(spark, folder) == second
+
+
+def test_concurrent_refreshes_do_not_mix(spark, tmp_path, upstream, monkeypatch):
+    from paneltrend.sources import landed
+
+    folder, create, others = str(tmp_path / "dims"), landed._create, [12, 11]
+
+    def interrupted(session, path, text):
+        if others:  # another refresh commits first, twice
+            n = others.pop()
+            monkeypatch.setattr(landed, "_create", create)
+            refresh_dimensions(upstream(n), folder, spark.createDataFrame([("s", f"k{n}")], "set_name string, GeoID string"))
+            monkeypatch.setattr(landed, "_create", interrupted)
+        return create(session, path, text)
+
+    monkeypatch.setattr(landed, "_create", interrupted)
+    mine = refresh_dimensions(upstream(9), folder)
+    assert dimension_versions(spark, folder) == [1, 2, 3]
+    versions = [dimension_paths(spark, folder, n) for n in (1, 2, 3)]
+    assert versions[2] == mine == latest_dimensions(spark, folder)
+    # each version has places and people of one refresh
+    assert all(v["juris"].rsplit("/", 1)[0] == v["pop"].rsplit("/", 1)[0] for v in versions)
+    assert len({v["pop"] for v in versions}) == 3
+    assert mine["key_sets"] == versions[1]["key_sets"]
+    assert not list((tmp_path / "dims" / "versions").glob("*.tmp"))
+
+
+def test_simultaneous_refreshes_each_get_a_version(spark, tmp_path, upstream):
+    from concurrent.futures import ThreadPoolExecutor
+
+    folder = str(tmp_path / "dims")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda n: refresh_dimensions(upstream(n), folder), range(4)))
+    versions = dimension_versions(spark, folder)
+    assert versions == list(range(1, len(versions) + 1))
+    assert all(len(dimension_paths(spark, folder, n)) == 2 for n in versions)
