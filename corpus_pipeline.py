@@ -44,7 +44,7 @@ def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the digest of the bytes they decode to."""
     ship(spark)
     ranks = byte_bpe.read_ranks(public_tokenizers.path(VOCABULARY))
-    return byte_bpe.decode(byte_bpe.encode(docs, ranks), ranks, digest=True, keep_ids=True)
+    return byte_bpe.encode(docs, ranks, decoded=True)
 
 
 STAGES = [

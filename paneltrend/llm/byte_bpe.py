@@ -39,7 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneltrend.llm.common import bucketed, table, whole_text
+from paneltrend.llm.common import bucketed, hand_back, lean, table, whole_text
 
 CHUNK_TOKENS = 3_000_000
 #: Buckets of words for each shuffle partition; a bucket's distinct words are held in memory.
@@ -182,8 +182,8 @@ def _encode_buckets(batches: Iterator[pa.RecordBatch], ranks: dict[bytes, int])
             )
 
 
-def _assemble(docs: pa.Table, words: pa.Table) -> pa.Table:
-    """The ids of a chunk's documents, from the ids of its words by number."""
+def _assemble(docs: pa.Table, words: pa.Table, tokens: "TokenBytes | None" = None) -> pa.Table:
+    """The ids of a chunk's documents, from the ids of its words by number; with ``tokens`` also what they decode to."""
     numbers, sizes, flat = [], [], []
     for row in words.to_pylist():
         numbers.append(np.cumsum(_unpack(row["steps"]), dtype=np.int64))
@@ -203,15 +203,18 @@ def _assemble(docs: pa.Table, words: pa.Table) -> pa.Table:
         values.append(ids[np.arange(n.sum()) + np.repeat(start[at] - ends + n, n)].astype(np.int32))
         lengths.append(len(values[-1]))
     digests = [hashlib.sha256(v.astype("<u4").tobytes()).hexdigest() for v in values[1:]]
+    told = {
+        "doc_id": docs.column("doc_id"),
+        "n_tokens": pa.array(lengths, pa.int64()),
+        "ids_sha256": pa.array(digests, pa.string()),
+    }
+    if tokens is not None:
+        decoded = [hashlib.sha256(tokens.join(v)).hexdigest() for v in values[1:]]
+        told["decoded_sha256"] = pa.array(decoded, pa.string())
     offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-    return pa.table(
-        {
-            "doc_id": docs.column("doc_id"),
-            "n_tokens": pa.array(lengths, pa.int64()),
-            "ids_sha256": pa.array(digests, pa.string()),
-            "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values), pa.int32())),
-        }
-    )
+    told["ids"] = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values), pa.int32()))
+    hand_back()
+    return pa.table(told)
 
 
 def encode(
@@ -220,27 +223,36 @@ def encode(
     pattern: str = public_tokenizers.PATTERN,
     id_column: str = "doc_id",
     text_column: str = "text",
+    decoded: bool = False,
 ) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, ids`` of every row; the digest is of little-endian unsigned 32-bit ids."""
+    """``doc_id, n_tokens, ids_sha256, ids`` of every row; the digest is of little-endian unsigned 32-bit ids.
+
+    With ``decoded`` the ids are joined with the token-byte table where they are
+    put together, and ``decoded_sha256`` tells what they decode to.
+    """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(ranks)  # a fixed vocabulary of about 1 MB
     buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), whole_text(text_column).alias("text"))
-    cut = source.mapInArrow(lambda batches: _cut(batches, pattern, buckets), PIECES)
+    cut = source.mapInArrow(lean(lambda batches: _cut(batches, pattern, buckets)), PIECES)
     pieces = bucketed(cut, "chunk", "bpe-pieces")
     words = (
         pieces.filter(F.col("bucket").isNotNull())
         .select("chunk", "bucket", "steps", "sizes", "words")
         .repartition("bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(lambda batches: _encode_buckets(batches, shared.value), ENCODED)
+        .mapInArrow(lean(lambda batches: _encode_buckets(batches, shared.value)), ENCODED)
     )
     rows = pieces.filter(F.col("places").isNotNull()).select("chunk", "doc_id", "places")
-    return (
-        rows.groupBy("chunk")
-        .cogroup(words.groupBy("part"))
-        .applyInArrow(_assemble, "doc_id long, n_tokens long, ids_sha256 string, ids array<int>")
-    )
+    both = rows.groupBy("chunk").cogroup(words.groupBy("part"))
+    if not decoded:
+        return both.applyInArrow(_assemble, "doc_id long, n_tokens long, ids_sha256 string, ids array<int>")
+    tokens = spark.sparkContext.broadcast(TokenBytes(ranks))  # a fixed vocabulary of about 1 MB
+
+    def assemble(docs: pa.Table, words: pa.Table) -> pa.Table:
+        return _assemble(docs, words, tokens.value)
+
+    return both.applyInArrow(assemble, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids array<int>")
 
 
 class TokenBytes:
@@ -289,10 +301,9 @@ def decode(
 
     rows = encoded.select(*kept, ids)
     shape = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if keep_ids or f.name != ids]
-    return rows.mapInArrow(joined, ", ".join([*shape, f"{name} {'string' if digest else 'binary'}"]))
+    return rows.mapInArrow(lean(joined), ", ".join([*shape, f"{name} {'string' if digest else 'binary'}"]))
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
     ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    encoded = encode(table(spark, folder, "documents"), ranks)
-    return decode(encoded, ranks, digest=True)
+    return encode(table(spark, folder, "documents"), ranks, decoded=True).drop("ids")

@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Bytes of an Arrow batch that a Python worker gets; Spark's own bound is eight times that.
+BATCH_BYTES = 8 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once a context, wherever they run."""
+    """Send this package to the Python workers, once a context, wherever they run; small Arrow batches for them."""
     context = spark.sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     if getattr(context, "_paneltrend_shipped", False):
         return
     package = Path(__file__).resolve().parent.parent
@@ -25,6 +33,25 @@ def ship(spark: SparkSession) -> None:
     context._paneltrend_shipped = True
 
 
+def hand_back() -> None:
+    """Give freed memory back to the system: Spark keeps Python workers for later stages, with what they hold."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def lean(made: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """A function for ``mapInArrow`` after which the worker holds no more than it has to."""
+
+    def run(*given, **named) -> Iterator[pa.RecordBatch]:
+        yield from made(*given, **named)
+        hand_back()
+
+    return run
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder of the session, which all executors share.
 

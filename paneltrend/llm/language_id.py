@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneltrend.llm.common import fold_of, settled, table, whole_text
+from paneltrend.llm.common import fold_of, lean, settled, table, whole_text
 
 ORDER = 4
 #: Letters of a long document, and long documents of a language that give a spread of their own.
@@ -138,7 +138,7 @@ def gram_counts(labelled: DataFrame, lang_column: str = "lang", text_column: str
     rows = labelled.filter(F.col(lang_column).isNotNull()).select(
         F.col(lang_column).cast("string").alias("lang"), whole_text(text_column).alias("text")
     )
-    return rows.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(lean(_count), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 @dataclass
@@ -317,7 +317,7 @@ def identify(
     kept = [*([F.col(id_column)] if id_column else []), *(more or [])]
     rows = docs.select(*kept, whole_text(text_column).alias("_text"))
     shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text")
-    return rows.mapInArrow(lambda batches: _predict(batches, shared.value), ", ".join(x for x in (shape, PREDICTED) if x))
+    return rows.mapInArrow(lean(lambda batches: _predict(batches, shared.value)), ", ".join(x for x in (shape, PREDICTED) if x))
 
 
 HELD_OUT_FOLDS = 5

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneltrend.llm.common import settled, table, unused, whole_text
+from paneltrend.llm.common import lean, settled, table, unused, whole_text
 from paneltrend.llm.components import connected
 
 #: Fixed value: generator polynomial of the binary Golay code, x^11+x^10+x^6+x^5+x^4+x^2+1.
@@ -91,7 +91,7 @@ def fingerprints(docs: DataFrame, words: int = 3, id_column: str = "doc_id", tex
 
     text = whole_text(text_column)
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text).alias("printed"), text.alias("text"))
-    return rows.mapInArrow(made, "doc_id long, printed long, fp long")
+    return rows.mapInArrow(lean(made), "doc_id long, printed long, fp long")
 
 
 # --- Golay keys ---------------------------------------------------------------------------
@@ -281,7 +281,7 @@ def linked_components(nodes: DataFrame, most: int, segments: int, split: int = S
     links = (
         keys.repartition("key")
         .sortWithinPartitions("key")
-        .mapInArrow(lambda batches: links_in_buckets(batches, most), "u long, v long")
+        .mapInArrow(lean(lambda batches: links_in_buckets(batches, most)), "u long, v long")
     )
     return connected(links)
 

@@ -220,6 +220,9 @@ def test_bpe_equals_the_library_and_decodes(docs, ranks, library, monkeypatch):
     want = Counter((i, tuple(library.encode_ordinary(t or "")), (t or "").encode()) for i, t in texts_of(docs))
     assert Counter((r["doc_id"], tuple(r["ids"]), bytes(r["decoded"])) for r in got) == want
     assert all(r["n_tokens"] == len(r["ids"]) for r in got)
+    both = byte_bpe.encode(docs, ranks, decoded=True).collect()
+    digests = Counter((r["doc_id"], tuple(r["ids"]), hashlib.sha256(bytes(r["decoded"])).hexdigest()) for r in got)
+    assert Counter((r["doc_id"], tuple(r["ids"]), r["decoded_sha256"]) for r in both) == digests
 
 
 @given(st.text(max_size=200))
