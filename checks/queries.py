@@ -56,10 +56,17 @@ def scratch(spark: SparkSession) -> str:
     return f"{shared or tempfile.mkdtemp(prefix='checks-')}/{uuid.uuid4().hex}"
 
 
+STORES: dict[tuple[str, str], PanelStore] = {}
+
+
 def panel_store(p: TpchPanels) -> PanelStore:
-    """Case and hospital panels, stored by month and bucket."""
+    """Case and hospital panels, stored by month and bucket once a session and table folder."""
     spark = p.cdt.sparkSession
-    return store_panels(spark, {"cdt": p.cdt, "hosp": p.hosp}, f"panels_{uuid.uuid4().hex}", scratch(spark))
+    at = spark.sparkContext.applicationId, p.folder
+    if at not in STORES:
+        panels = {"cdt": p.cdt, "hosp": p.hosp}
+        STORES[at] = store_panels(spark, panels, f"panels_{uuid.uuid4().hex}", scratch(spark), buckets=2)
+    return STORES[at]
 
 
 def stored_panel(store: PanelStore, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
