@@ -182,7 +182,7 @@ def _encode_buckets(batches: Iterator[pa.RecordBatch], ranks: dict[bytes, int])
             )
 
 
-def _assemble(docs: pa.Table, words: pa.Table, tokens: "TokenBytes | None" = None) -> pa.Table:
+def _assemble(docs: pa.Table, words: pa.Table, tokens: "TokenBytes | None") -> pa.Table:
     """The ids of a chunk's documents, from the ids of its words by number; with ``tokens`` also what they decode to."""
     numbers, sizes, flat = [], [], []
     for row in words.to_pylist():
@@ -245,14 +245,13 @@ def encode(
     )
     rows = pieces.filter(F.col("places").isNotNull()).select("chunk", "doc_id", "places")
     both = rows.groupBy("chunk").cogroup(words.groupBy("part"))
-    if not decoded:
-        return both.applyInArrow(_assemble, "doc_id long, n_tokens long, ids_sha256 string, ids array<int>")
-    tokens = spark.sparkContext.broadcast(TokenBytes(ranks))  # a fixed vocabulary of about 1 MB
+    tokens = spark.sparkContext.broadcast(TokenBytes(ranks) if decoded else None)  # a fixed vocabulary of about 1 MB
 
     def assemble(docs: pa.Table, words: pa.Table) -> pa.Table:
         return _assemble(docs, words, tokens.value)
 
-    return both.applyInArrow(assemble, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids array<int>")
+    more = "decoded_sha256 string, " if decoded else ""
+    return both.applyInArrow(assemble, f"doc_id long, n_tokens long, ids_sha256 string, {more}ids array<int>")
 
 
 class TokenBytes:
