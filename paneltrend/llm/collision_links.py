@@ -15,6 +15,13 @@ has both in one cell and nowhere else, so links are counted, not gathered: a
 task returns each vector's number of links and the stars that connect them.
 Cells beyond ``SPLIT`` members are dealt in blocks, every two meeting once.
 
+Equal vectors of a label are one class, told by 128 bits of hash of label and
+vector, before any cell is made: a class stands in a cell once, with its number
+of rows, which is what a link to it counts, and the links among its own rows are
+counted by arithmetic.  Rows whose id is not theirs alone are classes by id.
+Vectors are scaled by a power of two, which is exact, so that squares neither
+overflow nor vanish.
+
 Defined results: a vector is linked with nothing if it or its label is null,
 if it is zero or if a component is null or not finite; vectors of unequal
 length are not compared; repeated rows are rows of their own, but rows with
@@ -79,8 +86,13 @@ def directions(size: int, count: int, seed: int = SEED) -> np.ndarray:
     return np.random.default_rng([seed, size, count]).standard_normal((size, count))
 
 
-def _in_cells(batches: Iterator[pa.RecordBatch], signs: int, tables: int) -> Iterator[pa.RecordBatch]:
-    """Each vector once per table, with its cell and the cells it has in all tables."""
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows divided by a power of two near their largest component; any finite row but zero has a plain norm then."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])
+
+
+def _in_cells(batches: Iterator[pa.RecordBatch], signs: int, tables: int, kind: str) -> Iterator[pa.RecordBatch]:
+    """Each vector once per table, with its cell and the cells it has in all tables; components in ``kind``."""
     powers = 1 << np.arange(signs, dtype=np.int64)
     for batch in batches:
         vectors = batch.column("embedding").to_pylist()
@@ -88,10 +100,10 @@ def _in_cells(batches: Iterator[pa.RecordBatch], signs: int, tables: int) -> Ite
         for size in np.unique(sizes):
             at = np.flatnonzero(sizes == size)
             x = np.array([vectors[i] for i in at], np.float64).reshape(len(at), size)
-            bits = (x @ directions(int(size), signs * tables, SEED + 2) > 0).reshape(len(at), tables, signs)
+            bits = (scaled(x) @ directions(int(size), signs * tables, SEED + 2) > 0).reshape(len(at), tables, signs)
             cells = (bits * powers).sum(2).astype("<i4")
             part = batch.take(pa.array(at))
-            raw = pa.array([v.tobytes() for v in x], pa.binary())
+            raw = pa.array([v.tobytes() for v in x.astype(kind)], pa.binary())
             codes = pa.array([c.tobytes() for c in cells], pa.binary())
             for t in range(tables):
                 yield pa.record_batch(
@@ -100,13 +112,15 @@ def _in_cells(batches: Iterator[pa.RecordBatch], signs: int, tables: int) -> Ite
                         "size": pa.array(np.full(len(at), size, np.int32)),
                         "cell": pa.array(t << 40 | cells[:, t].astype(np.int64)),
                         "vec_id": part.column("vec_id"),
+                        "weight": part.column("weight"),
+                        "times": part.column("times"),
                         "vector": raw,
                         "cells": codes,
                     }
                 )
 
 
-CELLED = "label string, size int, cell long, vec_id long, vector binary, cells binary"
+CELLED = "label string, size int, cell long, vec_id long, weight long, times long, vector binary, cells binary"
 
 
 def _collisions(sorted_by: list[tuple[np.ndarray, np.ndarray]], rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
@@ -127,15 +141,20 @@ def _collisions(sorted_by: list[tuple[np.ndarray, np.ndarray]], rows: np.ndarray
     return counts
 
 
-def _links_of_cell(cell: pa.Table, least: int, threshold: float) -> pa.Table:
-    """Links that are judged in this cell: per vector their number, and the stars that connect them."""
+def _links_of_cell(cell: pa.Table, least: int, threshold: float, kind: str) -> pa.Table:
+    """Links that are judged in this cell: per class their number, and the stars that connect them.
+
+    A link to a class counts its rows (``weight``), for each of the ``times``
+    that the id has the vector.
+    """
     ids = cell.column("vec_id").to_numpy()
     n = len(ids)
     if n == 0:
         return _told([], [], [], [])
     size = cell.column("size")[0].as_py()
     t = cell.column("cell")[0].as_py() >> 40
-    x = np.frombuffer(b"".join(cell.column("vector").to_pylist()), np.float64).reshape(n, size)
+    x = scaled(np.frombuffer(b"".join(cell.column("vector").to_pylist()), kind).astype(np.float64).reshape(n, size))
+    weight, times = cell.column("weight").to_numpy(), cell.column("times").to_numpy()
     codes = np.frombuffer(b"".join(cell.column("cells").to_pylist()), "<i4").reshape(n, -1)[:, :t]
     mine, other, blocks = (cell.column(c).to_numpy() for c in ("mine", "other", "blocks"))
     norm = np.linalg.norm(x, axis=1)
@@ -159,7 +178,8 @@ def _links_of_cell(cell: pa.Table, least: int, threshold: float) -> pa.Table:
             p, q = i[a : a + (1 << 16)], j[a : a + (1 << 16)]
             linked = np.einsum("ij,ij->i", x[p], x[q]) / (norm[p] * norm[q]) >= threshold
             p, q = p[linked], q[linked]
-            links += np.bincount(p, minlength=n) + np.bincount(q, minlength=n)
+            np.add.at(links, p, times[p] * weight[q])
+            np.add.at(links, q, times[q] * weight[p])
             if len(p):
                 u, v = stars(ids[p], ids[q])
                 us.append(u)
@@ -183,17 +203,55 @@ def _told(ids, links, u, v) -> pa.Table:
     )
 
 
+def classes_of(usable: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Classes ``label, vec_id, weight, times, embedding``, and ``of, vec_id, own``: each id's class and its links within it.
+
+    The members travel as hashes; a class's vector is one of its rows', taken
+    before the shuffle.
+    """
+    first, second = F.xxhash64("label", "embedding"), F.xxhash64(F.lit(1), "embedding", "label")
+    rows = usable.withColumns({"h1": first, "h2": second})
+    light = settled(rows.select("vec_id", "h1", "h2"))
+    repeated = settled(light.groupBy("vec_id").count().filter("count > 1").select("vec_id"))
+    if repeated.isEmpty():
+        alone = F.lit(None).cast("long").alias("alone")
+        rows, light = rows.select("*", alone), light.select("*", alone)
+    else:
+        again = repeated.withColumn("alone", F.col("vec_id"))
+        rows, light = rows.join(again, "vec_id", "left"), light.join(again, "vec_id", "left")
+    key = ["h1", "h2", "alone"]
+    classes = settled(
+        rows.groupBy(*key).agg(
+            F.min("vec_id").alias("vec_id"), F.count("*").alias("weight"), F.first("label").alias("label"), F.first("embedding").alias("embedding")
+        )
+    )
+    times = F.when(F.col("alone").isNull(), F.lit(1).cast("long")).otherwise(F.col("weight")).alias("times")
+    # links of a row with its copies need no comparison; rows of repeated ids are their class's own
+    copied = classes.filter("alone is null and weight > 1").select("h1", "h2", F.col("vec_id").alias("class"), "weight")
+    members = (
+        light.filter("alone is null")
+        .join(copied, ["h1", "h2"])
+        .select(F.col("vec_id").alias("of"), F.col("class").alias("vec_id"), (F.col("weight") - 1).alias("own"))
+    )
+    return classes.select("label", "vec_id", "weight", times, "embedding"), members
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = 0.93, split: int = SPLIT) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row of ``vec_id, embedding, label``."""
-    spark = vectors.sparkSession
+    kind = "<f4" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "<f8"
     usable = vectors.filter(
         F.col("vec_id").isNotNull()
         & F.col("label").isNotNull()
         & F.col("embedding").isNotNull()
         & ~F.exists("embedding", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
         & F.exists("embedding", lambda v: v != 0)
-    ).select(F.col("vec_id").cast("long"), F.col("label").cast("string"), F.col("embedding").cast("array<double>"))
-    sizes = usable.groupBy("label", F.size("embedding").alias("size")).count()
+    ).select(
+        F.col("vec_id").cast("long"),
+        F.col("label").cast("string"),
+        F.col("embedding").cast("array<float>" if kind == "<f4" else "array<double>"),
+    )
+    classes, members = classes_of(usable)
+    sizes = classes.groupBy("label", F.size("embedding").alias("size")).count()
     seen = sizes.agg(F.max("count").alias("largest"), F.max("size").alias("size")).first()
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"))
     if seen["largest"] is None:
@@ -201,7 +259,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, split: int = SP
         return rows.select(own, F.lit(0).cast("long").alias("n_links"), own.alias("component_id"), F.lit(True).alias("kept"))
     signs, tables = signs_and_tables(seen["largest"], threshold)
     least = least_collisions(threshold, seen["size"])
-    celled = usable.mapInArrow(lambda batches: _in_cells(batches, signs, tables), CELLED)
+    celled = classes.mapInArrow(lambda batches: _in_cells(batches, signs, tables, kind), CELLED)
     key = ["label", "size", "cell"]
     large = settled(
         celled.groupBy(*key)
@@ -219,19 +277,25 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, split: int = SP
     dealt = dealt.withColumn("low", F.least("mine", "other")).withColumn("high", F.greatest("mine", "other"))
     judged = settled(
         dealt.groupBy(*key, "low", "high").applyInArrow(
-            lambda cell: _links_of_cell(cell, least, threshold), "vec_id long, links long, u long, v long"
+            lambda cell: _links_of_cell(cell, least, threshold, kind), "vec_id long, links long, u long, v long"
         )
     )
-    counts = judged.filter("links is not null").groupBy("vec_id").agg(F.sum("links").alias("n_links"))
+    counts = judged.filter("links is not null").groupBy("vec_id").agg(F.sum("links").alias("links"))
     roots = connected(judged.filter("u is not null").select("u", "v"))
+    # an id that is not a class's own takes what its class has
+    found = rows.join(members, F.col("of") == rows["vec_id"], "left").select(
+        rows["vec_id"], F.coalesce(members["vec_id"], rows["vec_id"]).alias("class"), F.coalesce("own", F.lit(0)).alias("own")
+    )
+    counts, roots = counts.withColumnRenamed("vec_id", "counted"), roots.select("node", "root")
+    component = F.coalesce("root", "class")
     return (
-        rows.join(counts, "vec_id", "left")
-        .join(roots, rows["vec_id"] == F.col("node"), "left")
+        found.join(counts, F.col("class") == F.col("counted"), "left")
+        .join(roots, F.col("class") == F.col("node"), "left")
         .select(
-            rows["vec_id"],
-            F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-            F.coalesce("root", rows["vec_id"]).alias("component_id"),
-            F.coalesce(F.col("root").isNull(), F.lit(True)).alias("kept"),
+            "vec_id",
+            (F.coalesce("links", F.lit(0)) + F.col("own")).cast("long").alias("n_links"),
+            component.alias("component_id"),
+            (F.col("vec_id").isNull() | (F.col("vec_id") == component)).alias("kept"),
         )
     )
 

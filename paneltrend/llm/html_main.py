@@ -1,25 +1,28 @@
 """Main text of web pages by templates deduced from same-host pages.
 
 The tokens of a page are its block elements, told apart by their path (names,
-classes and ids of the elements around them).  Over all pages of a host, tokens
-with the same occurrence vector (how often each page has them) form an
-equivalence class; the vectors are compared by sums of hashes, so a host of any
-size is aggregated before the shuffle and never gathered.  Classes of tokens
-that most pages have exactly once, and whose parents are in such a class too,
-nest into the host's template.  The template's elements are the borders of
-slots; the main slot is the deepest element that holds most of the host's text
-that is neither link text nor inside navigation and the like.  Hosts with few
-pages use the template of all pages.
-
-What is extracted is the text of the main slot, without the elements inside it
-that are no article text (fixed lists below).  A page without its host's slot
-uses that of all pages, or else its own deepest element with most of its text.
+classes and ids of the elements around them), and its text blocks, told apart
+by path and words.  Over all pages of a host, tokens with the same occurrence
+vector (how often each page has them) form an equivalence class; the vectors
+are compared by sums of hashes, so a host of any size is aggregated before the
+shuffle and never gathered.  Classes of elements that most pages have exactly
+once, and whose parents are in such a class too, nest into the host's template.
+Text blocks that nearly all pages have belong to the template as well, whatever
+their elements are called, unless such blocks are most of a host's text: then
+its pages are copies of each other.
+
+What the template leaves open are its slots.  A page's main slot is the
+smallest template element around all its text that may be article text and is
+no template text; never a block itself.  All of the slot is extracted but for
+parts that hold template text alone, and for elements that by their kind are
+no article text (fixed lists below, of which the class and id words count
+least: they make no aside of an article, nor of what holds most of a page's
+text).  Pages of hosts with few pages are taken whole, without such elements.
 
 Defined results: null html is empty and gives empty text; html without markup
 is one block; unclosed and stray tags are tolerated, a tag cut off at the end
-is markup; a null url is the host ''; repeated rows are pages of their own;
-ties between slots go to the first by path; an empty table gives an empty
-result; other columns are ignored.
+is markup; a null url is the host ''; repeated rows are pages of their own; an
+empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneltrend.llm.common import settled, table, whole_text
+from paneltrend.llm.common import lean, settled, table, whole_text
 from paneltrend.llm.url_filter import host_and_path
 
 # Element names of HTML by their role, and words in classes and ids.
@@ -56,15 +59,19 @@ ASIDE_WORDS = frozenset(
 )
 #: Elements that are no aside by what they are called.
 NEVER_NAMED = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
+#: Elements that are part of running text; others are parts of a page, and go if they hold template text alone.
+FLOW = frozenset("p ul ol li dl dt dd pre blockquote h1 h2 h3 h4 h5 h6 figure figcaption hr address".split())
 #: Elements that end where one of the same kind begins.
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 
-#: A template token is once in this share of the pages; the main slot holds this share of the text.
-SUPPORT, SHARE = 0.6, 0.6
-#: Tokens of a class, and pages of a host, that are enough for a template.
-CLASS_SIZE, HOST_PAGES = 2, 3
-#: Template tables of at most so many hosts are broadcast (some 100 bytes each).
-BROADCAST_HOSTS = 100_000
+#: A template element is once in this share of the pages, a template text in that one.
+SUPPORT, TEXT_SUPPORT = 0.6, 0.9
+#: Tokens of a class, and pages of a host, that are enough for a template, and for template texts.
+CLASS_SIZE, HOST_PAGES, TEXT_PAGES = 2, 3, 4
+#: Template texts are at most this share of a host's text.
+TEXT_SHARE = 0.5
+#: Template tables of at most so many hosts and tokens together are broadcast (some 100 bytes each).
+BROADCAST_TOKENS = 100_000
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/<>]*)"
@@ -94,6 +101,7 @@ class Page:
 
     elements: list[Element] = field(default_factory=list)
     blocks: list[tuple[tuple[Element, ...], str]] = field(default_factory=list)
+    sizes: list[int] = field(default_factory=list)
 
 
 def parse(source: str) -> Page:
@@ -101,7 +109,7 @@ def parse(source: str) -> Page:
     stack: list[Element] = [Element("", "", "", 0, False)]
     page.elements.append(stack[0])
     texts: list[str] = []
-    sizes: list[int] = []
+    sizes = page.sizes
     links = linked = 0
     at, end = 0, len(source)
 
@@ -200,113 +208,137 @@ def tokens_of(page: Page) -> dict[str, tuple[str, int, bool, int, int]]:
     return out
 
 
-def text_under(page: Page, path: str | None) -> str:
-    """The blocks inside the element at ``path`` that are article text, in page order."""
-    found = []
-    for around, text in page.blocks:
-        inside = next((i for i, e in enumerate(around) if e.path == path), None)
-        if inside is not None and not any(e.aside for e in around):
-            found.append(text)
-    return "\n".join(found)
+def text_token(path: str, text: str) -> int:
+    """A text block as a token; never 0."""
+    found = blake2b(f"{path}\0{text}".encode("utf-8", "surrogatepass"), digest_size=8).digest()
+    return int.from_bytes(found, "little", signed=True) or 1
 
 
-def own_slot(page: Page) -> str:
-    """The deepest element with most of the page's text."""
-    whole = page.elements[0].mass
-    best = page.elements[0]
-    for e in page.elements:
-        if not e.aside and e.depth > best.depth and whole and e.mass >= SHARE * whole:
-            best = e
-    return best.path
+def texts_of(page: Page) -> dict[int, tuple[int, int]]:
+    """Of each block that may be article text: its token, how often the page has it, and its mass."""
+    out: dict[int, tuple[int, int]] = {}
+    for (around, text), size in zip(page.blocks, page.sizes):
+        if not any(e.aside for e in around):
+            token = text_token(around[-1].path, text)
+            n, mass = out.get(token, (0, 0))
+            out[token] = (n + 1, mass + size)
+    return out
 
 
-def main_text(source: str, *slots: str | None) -> str:
-    page = parse(source)
-    have = {e.path for e in page.elements}
-    slot = next((s for s in slots if s is not None and s in have), None)
-    return text_under(page, own_slot(page) if slot is None else slot)
+def text_under(
+    page: Page, elements: frozenset[str] = frozenset(), constant: frozenset[int] = frozenset()
+) -> str:
+    """The article text of a page, by its host's template: paths of elements, and text tokens."""
+    blocks = [(around, text) for around, text in page.blocks if not any(e.aside for e in around)]
+    if not constant:
+        return "\n".join(text for _, text in blocks)
+    varies = [text_token(around[-1].path, text) not in constant for around, text in blocks]
+    if not any(varies):
+        return ""
+    # elements around all text that varies, the smallest one of the template last
+    inside = [around[:-1] if len(around) > 1 else around for (around, _), own in zip(blocks, varies) if own]
+    common = inside[0]
+    for around in inside[1:]:
+        n = next((i for i, (a, b) in enumerate(zip(common, around)) if a is not b), min(len(common), len(around)))
+        common = common[:n]
+    at = max((i for i, e in enumerate(common) if e.path in elements), default=0)
+    slot = common[at]
+    open_parts = {id(around[at + 1]) for (around, _), own in zip(blocks, varies) if own and len(around) > at + 1}
+    found = []
+    for around, text in blocks:
+        if len(around) > at and around[at] is slot:
+            part = around[at + 1] if len(around) > at + 1 else None
+            if part is None or part.name in FLOW or id(part) in open_parts:
+                found.append(text)
+    return "\n".join(found)
+
+
+def main_text(source: str, elements: frozenset[str] = frozenset(), constant: frozenset[int] = frozenset()) -> str:
+    return text_under(parse(source), elements, constant)
 
 
 # --- templates ----------------------------------------------------------------------------
 
-TOKENS = "host string, page long, path string, parent string, depth int, aside boolean, n int, mass long"
+TOKENS = "host string, page long, path string, token long, parent string, depth int, aside boolean, n int, mass long"
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for host, page, source in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            rows += [(host, page, path, *told) for path, told in tokens_of(parse(source)).items()]
+            parsed = parse(source)
+            rows += [(host, page, path, 0, *told) for path, told in tokens_of(parsed).items()]
+            rows += [(host, page, "", token, "", 0, False, *told) for token, told in texts_of(parsed).items()]
         names = [c.split()[0] for c in TOKENS.split(", ")]
-        kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.bool_(), pa.int32(), pa.int64())
+        kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int32(), pa.bool_(), pa.int32(), pa.int64())
         columns = list(zip(*rows)) or [()] * len(names)
         yield pa.record_batch({n: pa.array(c, k) for n, c, k in zip(names, columns, kinds)})
 
 
-def _slots(tokens: DataFrame) -> DataFrame:
-    """``host, slot``: the main slot of each host's template; ``tokens`` hold sums by host and path."""
-    pages = tokens.filter("path = ''").select("host", F.col("pages").alias("all_pages"), F.col("mass").alias("whole"))
-    once = tokens.join(pages, "host").filter("most = 1 and pages >= all_pages * " + str(SUPPORT))
+def _template_elements(sums: DataFrame) -> DataFrame:
+    """``host, elements``: the paths of each host's template, as many as a page has at most."""
+    tokens = sums.filter("token = 0")
+    pages = tokens.filter("path = ''").select("host", F.col("pages").alias("all_pages"))
+    enough = pages.filter(F.col("all_pages") >= HOST_PAGES)
+    once = tokens.join(enough, "host").filter("most = 1 and pages >= all_pages * " + str(SUPPORT))
     # equivalence classes: equal vectors have equal sums of hashes
     classes = once.groupBy("host", "pages", "vector").agg(F.count("*").alias("size"))
     large = once.join(classes.filter(F.col("size") >= CLASS_SIZE), ["host", "pages", "vector"])
     held = large.select("host", F.col("path").alias("parent"), F.col("pages").alias("parent_pages"))
     nested = large.filter("depth > 0").join(held, ["host", "parent"]).filter("parent_pages >= pages and not aside")
+    return nested.groupBy("host").agg(F.collect_set("path").alias("elements"))
+
+
+def _template_texts(sums: DataFrame) -> DataFrame:
+    """``host, constant``: the text tokens of each host's template, as many as its pages have blocks at most."""
+    pages = sums.filter("token = 0 and path = ''").select("host", F.col("pages").alias("all_pages"), F.col("mass").alias("whole"))
+    held = sums.filter("token <> 0").join(pages.filter(F.col("all_pages") >= TEXT_PAGES), "host")
     return (
-        nested.filter(F.col("mass") >= SHARE * F.col("whole"))
+        held.filter(F.col("pages") >= TEXT_SUPPORT * F.col("all_pages"))
         .groupBy("host")
-        .agg(F.min(F.struct(-F.col("depth"), "path")).alias("best"), F.first("all_pages").alias("pages"))
-        .select("host", F.col("best.path").alias("slot"), "pages")
+        .agg(F.collect_set("token").alias("constant"), F.sum("mass").alias("mass"), F.first("whole").alias("whole"))
+        .filter(F.col("mass") <= TEXT_SHARE * F.col("whole"))
+        .select("host", "constant")
     )
 
 
-def templates(pages: DataFrame) -> tuple[DataFrame, str | None]:
-    """``host, slot`` of hosts with enough pages, and the slot of all pages together.
+def templates(pages: DataFrame) -> DataFrame:
+    """``host, elements, constant`` of hosts with enough pages.
 
     ``pages``: ``host, page, html``, where ``page`` tells pages apart.
     """
-    found = pages.select("host", "page", "html").mapInArrow(_tokens, TOKENS)
-    vector = F.sum(F.xxhash64("page", "n").cast("decimal(20,0)"))
+    found = pages.select("host", "page", "html").mapInArrow(lean(_tokens), TOKENS)
     sums = settled(
-        found.groupBy("host", "path").agg(
+        found.groupBy("host", "path", "token").agg(
             F.first("parent").alias("parent"),
             F.first("depth").alias("depth"),
             F.max("aside").alias("aside"),
             F.count("*").alias("pages"),
             F.max("n").alias("most"),
-            vector.alias("vector"),
+            F.sum(F.xxhash64("page", "n").cast("decimal(20,0)")).alias("vector"),
             F.sum("mass").alias("mass"),
         )
     )
-    hosts = _slots(sums).filter(F.col("pages") >= HOST_PAGES).select("host", "slot")
-    # the vectors of all pages are the sums of the hosts' vectors
-    together = sums.groupBy(F.lit("").alias("host"), "path").agg(
-        F.first("parent").alias("parent"),
-        F.first("depth").alias("depth"),
-        F.max("aside").alias("aside"),
-        F.sum("pages").alias("pages"),
-        F.max("most").alias("most"),
-        F.sum("vector").alias("vector"),
-        F.sum("mass").alias("mass"),
-    )
-    whole = _slots(together).first()
-    return settled(hosts), whole["slot"] if whole else None
+    # elements are of use only beside template texts: without these all of a page varies
+    return settled(_template_texts(sums).join(_template_elements(sums), "host", "left"))
 
 
 def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
     """``page_id, url, text, n_chars`` of every page."""
     host, _ = host_and_path(F.col(url_column))
     told = pages.select(F.col(id_column).alias("page_id"), F.col(url_column).alias("url"), host.alias("host"), whole_text(html_column).alias("html"))
-    slots, everywhere = templates(told.select("host", F.xxhash64("page_id", "url").alias("page"), "html"))
-    if slots.count() <= BROADCAST_HOSTS:
-        slots = F.broadcast(slots)
-    joined = told.join(slots, "host", "left").select("page_id", "url", "html", "slot")
+    found = templates(told.select("host", F.xxhash64("page_id", "url").alias("page"), "html"))
+    # bounded by its size: tokens of all hosts together
+    tokens = sum((F.greatest(F.size(c), F.lit(0)) for c in ("elements", "constant")), F.lit(1))
+    if found.agg(F.coalesce(F.sum(tokens), F.lit(0))).first()[0] <= BROADCAST_TOKENS:
+        found = F.broadcast(found)
+    joined = told.join(found, "host", "left").select("page_id", "url", "html", "elements", "constant")
 
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [
-                main_text(source.as_py(), slot, everywhere)
-                for source, slot in zip(batch.column("html"), batch.column("slot").to_pylist())
+                main_text(source.as_py(), frozenset(elements.as_py() or ()), frozenset(constant.as_py() or ()))
+                for source, elements, constant in zip(*(batch.column(c) for c in ("html", "elements", "constant")))
             ]
             yield pa.record_batch(
                 {
@@ -318,7 +350,7 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
             )
 
     kind = told.schema["page_id"].dataType.simpleString()
-    return joined.mapInArrow(extracted, f"page_id {kind}, url string, text string, n_chars long")
+    return joined.mapInArrow(lean(extracted), f"page_id {kind}, url string, text string, n_chars long")
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

@@ -191,6 +191,45 @@ def test_links_by_brute_force(spark, vectors, split, monkeypatch):
     assert got[90_006]["component_id"] == 90_005
 
 
+def plain_links(rows, threshold):
+    """Rows of an id linked with rows of other ids, summed over the id's rows; and the pairs of ids."""
+    from fractions import Fraction
+
+    count, pairs = Counter(), []
+    exact = [(i, [Fraction(v) for v in x], label) for i, x, label in rows]
+    for i, x, label in exact:
+        for j, y, other in exact:
+            if i != j and label == other and len(x) == len(y):
+                dot, one, two = (sum(a * b for a, b in zip(p, q)) for p, q in ((x, y), (x, x), (y, y)))
+                if dot > 0 and float(dot * dot / (one * two)) ** 0.5 >= threshold:
+                    count[i] += 1
+                    pairs.append((i, j))
+    return count, pairs
+
+
+def test_extreme_equal_and_repeated_vectors(spark):
+    rows = [(1, [1e200, 1e200], 1), (2, [1e200, 1e200], 1), (3, [1e-200, 2e-200], 1), (4, [1e-200, 2e-200], 1)]
+    rows += [(5, [5e-324, 5e-324], 1), (6, [1.7e308, 1.7e308], 1), (7, [3.0, 3.0], 1), (8, [1.0, -1.0], 1), (9, [1e-310, -1e-310], 1)]
+    rows += [(20 + i, [0.5, 0.25], 2) for i in range(30)] + [(60, [0.25, 0.5], 2), (61, [0.5, 0.26], 2), (62, [2.0, 1.0], 2)]
+    rows += [(25, [0.5, 0.25], 3), (70, [0.5, 0.25], 3), (70, [0.5, 0.25], 3), (70, [1.0, 0.0], 3), (71, [1.0, 0.01], 3), (72, [0.5, 0.25], 3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4)
+    got = {r["vec_id"]: r for r in collision_links.near_duplicates(df).collect()}
+    count, pairs = plain_links(rows, 0.93)
+    assert {i: r["n_links"] for i, r in got.items()} == {i: count[i] for i in got}
+    want = components(sorted(got), pairs)
+    assert {i: r["component_id"] for i, r in got.items()} == want
+
+
+def test_a_great_group_of_copies_takes_no_pairs(spark):
+    df = spark.range(100_000).select(
+        (F.col("id") + 7).alias("vec_id"), F.array(F.lit(0.5), F.lit(0.1), F.lit(-0.3)).cast("array<float>").alias("embedding"), F.lit(1).alias("label")
+    )
+    told = collision_links.near_duplicates(df).agg(
+        F.min("n_links"), F.max("n_links"), F.min("component_id"), F.max("component_id"), F.count_if("kept"), F.count("*")
+    )
+    assert tuple(told.first()) == (99_999, 99_999, 7, 7, 1, 100_000)
+
+
 def test_vectors_none_or_all_unusable(spark):
     assert collision_links.near_duplicates(spark.createDataFrame([], VECTORS)).count() == 0
     odd = spark.createDataFrame([(1, None, 1, 0), (None, [1.0], 1, 0)], VECTORS)
@@ -229,6 +268,102 @@ def test_main_text_of_a_host_without_article_tags(spark):
     assert html_main.extract(pages.filter("page_id < 0")).count() == 0
 
 
+def planted(article, around="{}", n=12):
+    """Pages of one host; ``article`` and ``around`` are given the page's own words."""
+    rng = random.Random(n)
+
+    def own(k):
+        return " ".join(rng.choice(["lorem", "ipsum", "dolor", "sit", "amet"]) + str(rng.randrange(10**6)) for _ in range(k))
+
+    rows = []
+    for i in range(n):
+        body, text = article(own)
+        rows.append((i, f"http://plant.test/{i}", f"<html><body>{around.format(body)}</body></html>", text))
+    return rows
+
+
+def heading_and_end(own):
+    a, b, c = own(4), own(60), own(12)
+    return f'<article><h1>{a}</h1><p>{b}</p><p class="end">{c}</p></article>', f"{a}\n{b}\n{c}"
+
+
+def standfirst(own):
+    a, b, c = own(35), own(40), own(25)
+    return f'<div class="lead"><p>{a}</p></div><div class="text"><p>{b}</p><p>{c}</p></div>', f"{a}\n{b}\n{c}"
+
+
+def neutral(own):
+    a, b, c = own(6), own(50), own(20)
+    return f'<div class="x1"><h2>{a}</h2><p>{b}</p><p>{c}</p></div>', f"{a}\n{b}\n{c}"
+
+
+NEUTRAL = '<div class="x0"><p>All pages say this.</p></div>{}<div class="x2"><p>And that &copy; too.</p></div>'
+
+
+def extracted(spark, rows):
+    df = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string").repartition(3)
+    return {r["page_id"]: r["text"] for r in html_main.extract(df).collect()}
+
+
+@pytest.mark.parametrize("article, around", [(heading_and_end, "{}"), (standfirst, "{}"), (neutral, NEUTRAL), (standfirst, NEUTRAL)])
+def test_articles_are_whole_and_constant_text_goes(spark, article, around):
+    rows = planted(article, around)
+    # a host with one short page, whose only block is its article
+    rows.append((99, "http://single.test/", "<div><p>Short one.</p></div>", "Short one."))
+    assert extracted(spark, rows) == {r[0]: r[3] for r in rows}
+
+
+def test_copies_of_a_page_are_not_a_template(spark):
+    (one,) = planted(neutral, n=1)
+    rows = [(i, f"http://copies.test/{i}", one[2], one[3]) for i in range(9)]
+    assert extracted(spark, rows) == {r[0]: r[3] for r in rows}
+
+
+def test_templates_without_any_list_of_names(spark):
+    """The same pages with no element, class or id that is told by its name: constant text alone makes the template."""
+    around = f'{MENU}<div class="ad"><p>Buy now.</p></div>{{}}<footer><p>&copy; all</p></footer>'
+    rows = planted(neutral, around)
+    for i, _, source, text in rows:
+        page = html_main.parse(source)
+        assert html_main.text_under(page) == text  # by the lists
+        for e in page.elements:
+            e.aside = False
+        assert html_main.text_under(page) != text
+    # occurrence vectors held in memory
+    held = {}
+    for i, _, source, _ in rows:
+        page = html_main.parse(source)
+        for e in page.elements:
+            e.aside = False
+        for token, (n, _) in html_main.texts_of(page).items():
+            held.setdefault(token, {})[i] = n
+    constant = frozenset(t for t, vector in held.items() if len(vector) == len(rows))
+    for _, _, source, text in rows:
+        page = html_main.parse(source)
+        for e in page.elements:
+            e.aside = False
+        assert html_main.text_under(page, frozenset(e.path for e in page.elements), constant) == text
+
+
+def test_template_texts_equal_vectors_held_in_memory(spark):
+    rows = planted(neutral, NEUTRAL)
+    df = spark.createDataFrame([("plant.test", i, h) for i, _, h, _ in rows], "host string, page long, html string")
+    (got,) = html_main.templates(df).collect()
+    held = {}
+    for i, _, source, _ in rows:
+        for token in html_main.texts_of(html_main.parse(source)):
+            held.setdefault(token, set()).add(i)
+    assert set(got["constant"]) == {t for t, pages in held.items() if len(pages) >= 0.9 * len(rows)}
+    assert len(got["constant"]) == 2
+    seen, parent = {}, {}
+    for i, _, source, _ in rows:
+        for e in html_main.parse(source).elements:
+            seen.setdefault(e.path, []).append(i)
+            parent[e.path] = e.parent
+    once = {p for p, pages in seen.items() if sorted(pages) == list(range(len(rows)))}
+    assert set(got["elements"]) == {p for p in once if p and parent[p] in once}
+
+
 @given(st.lists(st.sampled_from(["<p>", "</p>", "<div class='ad'>", "</div>", "<", ">", "<b", "\"", "'", "x", " ", "&amp", "<script>", "</script>", "<!--", "-->"]), max_size=40))
 @settings(max_examples=200, deadline=None)
 def test_any_markup_is_parsed(pieces):
