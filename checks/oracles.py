@@ -246,6 +246,7 @@ OPERATORS |= {
     "first_difference_blocks": OPERATORS["first_difference"],
     "compare_7_blocks": OPERATORS["compare_7"],
     "compare_back_update": OPERATORS["compare_7"],
+    "dim_drift_located": OPERATORS["dim_drift"],
     "stored_merge": OPERATORS["full_merge"],
     "stored_rolling_7": OPERATORS["rolling_7"],
     "stored_trailing_6w": OPERATORS["trailing_6w"],

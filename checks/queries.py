@@ -217,6 +217,9 @@ OPERATORS: Mapping[str, Query] = {
     "dim_drift": lambda p: ops.dimension_drift(
         p.jurisdictions.select("Jurisdiction", "Region", "State", "GeoID"), upstream_places(p)
     ),
+    "dim_drift_located": lambda p: ops.located_drift(
+        p.jurisdictions.select("Jurisdiction", "Region", "State", "GeoID"), upstream_places(p)
+    ),
     "dim_drift_verdict": lambda p: ops.drift_counts(
         p.jurisdictions.select("Jurisdiction", "Region", "State", "GeoID"), upstream_places(p)
     ),

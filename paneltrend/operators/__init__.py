@@ -30,7 +30,7 @@ from .derive import (
     seven_day_ratios,
     vaccination_rates,
 )
-from .drift import dimension_drift, drift_counts, drift_report, has_drifted
+from .drift import bucket_digests, dimension_drift, drift_counts, drift_report, has_drifted, located_drift
 from .latest import latest_per_key
 from .merge import in_key_set, lookup, merge_panels, repeated_keys, site_bridge
 from .positions import positioned, with_earlier

@@ -12,13 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..bundle import Bundle
-from ..functions import guarded_ratio, iso_weekday, weekday_number
+from ..functions import guarded_ratio, iso_weekday, shifted_weekday, weekday_number
 from ..operators.compare import compare_wide, with_previous
 from ..operators.cutoffs import (
-    Calendar,
     cut_to_lag,
     cut_to_weekday,
-    newest_date_on,
     on_date_or_newest,
     thin_to_weekday,
     trailing_period,
@@ -96,16 +94,15 @@ class SnapshotPlaces:
 
 
 def slice_comparison(
-    rolled: DataFrame, days: int, weekday: int, lag_cases: int, lag_hospital: int, focus: str
+    rolled: DataFrame, days: int, cut: Column, lag_cases: int, lag_hospital: int, focus: str
 ) -> DataFrame:
-    """Newest comparison of one key: cut to a weekday, then by each measure's lag.
+    """Newest comparison of one key: cut to a weekday's newest date, then by each measure's lag.
 
     The weekday's newest date is itself the newest date of what the first cut
     leaves, and lags only look back, so both cuts can follow the lags; case
     and hospital measures then differ only in which row they take, and one
     pass serves both.
     """
-    cut = newest_date_on(rolled, weekday)
     by_key = Window.partitionBy("GeoID")
     newest = {
         f"_newest_{name}": F.max(
@@ -147,13 +144,33 @@ def snapshot_bundle(
     """Weekly snapshot tables over a base bundle."""
     weekday = weekday_number(cutoff_day)
 
-    # rolling keeps every row's date, so the merged panel has the anchors
     @cache
-    def calendar() -> Calendar:
-        return Calendar(base["cdtHospData"])
+    def anchors() -> Column:
+        """The newest date, the newest one on the cutoff weekday, and each lag's newest weekly point of ``series``.
+
+        Rolling keeps every row's date, so the merged panel has them.  One
+        scalar holds them all: a plan that uses several reads the dates once,
+        with at most a calendar of them.
+        """
+        own = F.when(F.col("GeoID").isin(*places.series), F.col("Date"))
+        dates = base["cdtHospData"].agg(
+            F.max("Date").alias("newest"),
+            F.max(F.when(iso_weekday(F.col("Date")) == weekday, F.col("Date"))).alias("cut"),
+            F.collect_set(own).alias("days"),
+        )
+
+        def last_point(lag: int) -> Column:
+            on_day = shifted_weekday(weekday, lag)
+            return F.array_max(
+                F.filter("days", lambda d: (d <= F.date_sub("newest", lag)) & (iso_weekday(d) == on_day))
+            )
+
+        found = [F.col("newest"), F.col("cut")]
+        found += [last_point(lag).alias(f"point_{lag}") for lag in dict.fromkeys((lag_cases, lag_hospital))]
+        return dates.select(F.struct(*found)).scalar()
 
     def weekly_points(lag: int) -> DataFrame:
-        rolled = cut_to_lag(base["cdtHosp7DayRollingData"], lag, newest=calendar().newest())
+        rolled = cut_to_lag(base["cdtHosp7DayRollingData"], lag, newest=anchors()["newest"])
         return thin_to_weekday(rolled, weekday, lag).where(F.col("GeoID").isin(*places.series))
 
     def cases() -> DataFrame:
@@ -180,8 +197,9 @@ def snapshot_bundle(
             *IDS, *HOSPITAL_COLUMNS
         )
 
-    def last_weeks(points: DataFrame, measures: Sequence[MeasureSpec]) -> DataFrame:
-        wide = trailing_period(with_previous(points, measures, 7, lag=1), SIX_WEEKS)
+    def last_weeks(points: DataFrame, measures: Sequence[MeasureSpec], lag: int) -> DataFrame:
+        wide = with_previous(points, measures, 7, lag=1)
+        wide = trailing_period(wide, SIX_WEEKS, newest=anchors()[f"point_{lag}"])
         return compare_wide(wide.where(F.col("GeoID").isin(*places.headline)), measures)
 
     @cache
@@ -190,7 +208,7 @@ def snapshot_bundle(
             slice_comparison(
                 base[f"cdtHosp{days}DayRollingData"],
                 days,
-                weekday,
+                anchors()["cut"],
                 lag_cases,
                 lag_hospital,
                 places.focus,
@@ -246,8 +264,8 @@ def snapshot_bundle(
             F.col("GeoID").isin(*places.headline)
         ),
         "WDS_7DayRollingLagHosp": weekly_hospital,
-        "WDS_WeeklyComparison": lambda: last_weeks(cases(), WEEKLY_CASES).unionByName(
-            last_weeks(hospital(), WEEKLY_HOSPITAL)
+        "WDS_WeeklyComparison": lambda: last_weeks(cases(), WEEKLY_CASES, lag_cases).unionByName(
+            last_weeks(hospital(), WEEKLY_HOSPITAL, lag_hospital)
         ),
         "WDS_ComparisonTable": sliced,
         "WDS_HelperTable": helper,

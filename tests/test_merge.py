@@ -78,3 +78,27 @@ def test_drift_of_several_tables_has_one_verdict(spark):
     got = rows_of(drift_report({"x": (a, a), "y": (a, b)}), "dimension", "n_current", "n_distinct", "drifted", "any_drifted")
     assert got == [("x", 2, 2, False, True), ("y", 2, 3, True, True)]
     assert rows_of(drift_report({"x": (a, a)}), "any_drifted") == [(False,)]
+
+
+def test_drift_is_located_by_digests(spark, monkeypatch):
+    from paneltrend.operators import drift
+
+    rows = [(f"k{i}", i % 7 if i % 5 else None) for i in range(300)]
+    current = spark.createDataFrame(rows, "a string, b int").repartition(3)
+    upstream = spark.createDataFrame([(a, b) if a != "k9" else (a, 99) for a, b in reversed(rows)] + [("new", None)], "a string, b int")
+    got = drift.located_drift(current, upstream)
+    want = drift.dimension_drift(current, upstream)
+    assert rows_of(got, *want.columns) == rows_of(want, *want.columns) and want.count() == 3
+    # only the rows of differing buckets are compared
+    compared = []
+    monkeypatch.setattr(drift, "dimension_drift", lambda a, b: compared.append((a.count(), b.count())) or a)
+    drift.located_drift(current, upstream)
+    assert max(compared[0]) <= 10
+    # equal tables in another order: nothing is read again
+    compared.clear()
+    drift.located_drift(current, current.orderBy("b").coalesce(1))
+    assert compared == [(0, 0)]
+    # digests of parts add up
+    halves = [drift.bucket_digests(current.where(w)) for w in ("b < 3 or b is null", "b >= 3")]
+    both = halves[0].unionByName(halves[1]).groupBy("bucket").sum("rows", "high", "low", "other")
+    assert {tuple(r) for r in both.collect()} == {tuple(r) for r in drift.bucket_digests(current).collect()}

@@ -127,3 +127,13 @@ def test_range_ends_come_from_dates_alone(spark, name):
 )
 def test_facts_are_scanned_no_more_than_needed(spark, name, most):
     assert fact_scans(registered()[name](spark, SF_DIR)) <= most
+
+
+@pytest.mark.parametrize("name", ["snapshot_weekly_comparison", "snapshot_comparison"])
+def test_snapshot_comparisons_read_the_facts_once_when_run(spark, name):
+    """Anchors are one scalar, so its uses and the two sides share their scans."""
+    df = registered()[name](spark, SF_DIR)
+    df.collect()
+    text = plan(df).split("== Initial Plan ==")[0]
+    assert len(re.findall(r"ReadSchema: struct<[^>]*l_shipdate", text)) == 1
+    assert len(set(re.findall(r"Subquery subquery#(\d+)", text))) == 1
