@@ -14,10 +14,10 @@ of that kind meant among the labelled documents), and by the words around it: wh
 quotations) speaks against abuse, and so do quotation marks on both sides.
 A logistic model joins these into the score.
 
-Size bounds: the lexicon, the context words and the model are fitted on at
-most ``MAX_LABELLED`` labelled documents, taken by the hash of their ids; the
-lexicon has at most ``MAX_TERMS`` terms and ``MAX_CONTEXT`` context words.
-Every word of every document is scored.
+Size bound: the lexicon, the context words and the model are fitted on at most
+``MAX_LABELLED`` labelled documents, taken by the hash of their ids; whatever
+words of theirs are telling enough are in the lexicon or the context, however
+many.  Every word of every document is scored.
 
 Defined results: null text is empty; texts without a hit, empty ones too, get
 the score of no hit; without labels of both kinds the score is 0; a document
@@ -40,11 +40,10 @@ from pyspark.sql import functions as F
 
 from paneltrend.llm.common import fold_of, settled, table, whole_text
 
+#: Labelled documents that the classifier is fitted on.
 MAX_LABELLED = 20_000
-MAX_TERMS = 500
-MAX_CONTEXT = 2_000
-#: A term is in at least so many toxic documents, and in this share of them.
-LEAST_DOCUMENTS, LEAST_SHARE = 4, 0.005
+#: A term is in at least so many toxic documents.
+LEAST_DOCUMENTS = 4
 #: Standard errors that a term's or context word's log odds lie from zero, and a term's least log odds.
 CERTAIN, LEAST_ODDS = 3.5, 2.0
 #: Words on either side of a hit that are its context.
@@ -321,14 +320,13 @@ def _log_odds(clean: int, toxic: int) -> Column:
     return F.struct(odds.alias("odds"), (odds / F.sqrt(1 / a + 1 / b)).alias("z"))
 
 
-def _telling(counts: DataFrame, clean: int, toxic: int, most: int) -> DataFrame:
-    """The words that speak most surely for toxicity."""
+def _telling(counts: DataFrame, clean: int, toxic: int) -> DataFrame:
+    """The words that speak for toxicity, the surest first; words of the sample, so no more than it has."""
     return (
-        counts.filter(F.col("toxic") >= max(LEAST_DOCUMENTS, LEAST_SHARE * toxic))
+        counts.filter(F.col("toxic") >= LEAST_DOCUMENTS)
         .withColumn("o", _log_odds(clean, toxic))
         .filter((F.col("o.z") >= CERTAIN) & (F.col("o.odds") >= LEAST_ODDS))
         .orderBy(F.desc("o.z"), "word")
-        .limit(most)
     )
 
 
@@ -340,7 +338,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: Column) -> Model:
     if not clean or not toxic:
         return Model()
     single = settled(sample.dropDuplicates())
-    candidates = frozenset(r["word"] for r in _telling(tallied(single, _words), clean, toxic, 4 * MAX_TERMS).collect())
+    candidates = frozenset(r["word"] for r in _telling(tallied(single, _words), clean, toxic).collect())
     # a word in one context counts once, whatever the number of copies
     contexts = tallied(single, lambda text: _contexts(text, candidates)).select(
         F.substring_index("word", " ", 1).alias("word"),
@@ -358,10 +356,10 @@ def learn(docs: DataFrame, labels: DataFrame, label: Column) -> Model:
         .filter(~F.col("word").endswith("*") | (F.col("words") >= STEM_WORDS))
     )
     found = []
-    for r in _telling(kinds, clean, toxic, 4 * MAX_TERMS).select("word", "o.odds").collect():
+    for r in _telling(kinds, clean, toxic).select("word", "o.odds").collect():
         # the surest first; of nested stems one is enough, words keep their own automata beside it
         nested = r["word"].endswith("*") and any(r["word"].startswith(w[:-1]) for w, _ in found if w.endswith("*"))
-        if not nested and len(found) < MAX_TERMS:
+        if not nested:
             found.append((r["word"], r["odds"]))
     model = Model([w for w, _ in found], [(odds,) * 3 for _, odds in found])
 
@@ -387,15 +385,13 @@ def learn(docs: DataFrame, labels: DataFrame, label: Column) -> Model:
     if total is not None and total["clean"] and total["toxic"]:
         context = (
             near.filter("word <> '' and word not like '% %'")
-            .filter(~F.col("word").isin(model.terms))
             .withColumn("o", _log_odds(total["clean"], total["toxic"]))
             .filter(F.abs("o.z") >= CERTAIN)
-            .orderBy(F.desc(F.abs("o.z")), "word")
-            .limit(MAX_CONTEXT)
             .select("word", "o.odds")
             .collect()
         )
-        model.context = {r["word"]: r["odds"] for r in context}
+        terms = set(model.terms)
+        model.context = {r["word"]: r["odds"] for r in context if r["word"] not in terms}
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer_of(model)
@@ -426,7 +422,7 @@ def _fit(model: Model, x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> No
 
 def score(docs: DataFrame, model: Model, more: list[Column] | None = None) -> DataFrame:
     """``doc_id, score`` (and ``more``) of every whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: MAX_TERMS and MAX_CONTEXT words
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: words of MAX_LABELLED documents
     rows = docs.select(F.col("doc_id"), *(more or []), whole_text().alias("_text"))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
