@@ -247,6 +247,9 @@ OPERATORS |= {
     "compare_7_blocks": OPERATORS["compare_7"],
     "compare_back_update": OPERATORS["compare_7"],
     "dim_drift_located": OPERATORS["dim_drift"],
+    "period_table_7_days": OPERATORS["period_table_7"],
+    "change_since_index": OPERATORS["change_since_grid"],
+    "change_mixed_index": OPERATORS["change_mixed_grid"],
     "stored_merge": OPERATORS["full_merge"],
     "stored_rolling_7": OPERATORS["rolling_7"],
     "stored_trailing_6w": OPERATORS["trailing_6w"],

@@ -245,11 +245,20 @@ OPERATORS: Mapping[str, Query] = {
     "period_table_7": lambda p: ops.period_table(
         panel_roll(p, 7), 7, 10, PERIOD_MEASURES, p.population
     ),
+    "period_table_7_days": lambda p: ops.period_table(
+        panel_roll(p, 7), 7, 10, PERIOD_MEASURES, p.population, strategy="days"
+    ),
     "period_table_14": lambda p: ops.period_table(
         panel_roll(p, 14), 14, 100, PERIOD_MEASURES, p.population
     ),
     # change since
     "change_since_grid": lambda p: ops.change_since(p.region_dense, CASE_CHANGES, CASE_GRID),
+    "change_since_index": lambda p: ops.change_since(
+        p.region_dense, CASE_CHANGES, CASE_GRID, strategy="index"
+    ),
+    "change_mixed_index": lambda p: ops.change_since(
+        p.cdt, CASE_CHANGES, MIXED_GRID, strategy="index"
+    ),
     "change_all_time": lambda p: ops.change_since(p.cdt, CASE_CHANGES, (ChangeWindow(None),)),
     "change_mixed_grid": lambda p: ops.change_since(p.cdt, CASE_CHANGES, MIXED_GRID),
     "vacc_change_grid": lambda p: ops.change_since(

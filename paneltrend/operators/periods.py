@@ -15,6 +15,9 @@ from .merge import lookup
 from .reshape import common_number, stack
 
 
+PERIOD_STRATEGIES = ("window", "days")
+
+
 def period_table(
     df: DataFrame,
     days: int,
@@ -26,25 +29,41 @@ def period_table(
     ids: Sequence[str] = IDS,
     key: str = KEY,
     date: str = DATE,
+    strategy: str = "window",
 ) -> DataFrame:
     """One row per key and measure: latest value, the one ``days`` reports back, KPI.
 
     Reports are picked by position: rank 1 and, as its predecessor, the next
     of ranks ``days + 1`` and ``2 * days + 1``.  Unlike the long comparison,
     0 against 0 counts as a fall by 100 %.
+
+    With ``strategy="days"`` ranks come from counts by key and day, combined
+    before the shuffle, and only the picked days' rows are joined back: no task
+    holds a key's rows, however many it has a day.
     """
+    if strategy not in PERIOD_STRATEGIES:
+        raise ValueError(f"strategy must be one of {PERIOD_STRATEGIES}, not {strategy!r}")
     columns = [m.column(days) for m in measures]
-    recent = lookup(cut_to_lag(df, lag, date), population, key, ["Population"])
-
-    # The rank limit is pushed below the shuffle: each map task sends at most
-    # 2 * days + 1 reports per key.
+    picked = (1, days + 1, 2 * days + 1)
     newest_first = Window.partitionBy(key).orderBy(F.desc(date))
-    ranked = (
-        recent.select(*ids, *columns, "Population")
-        .withColumn("_rank", F.rank().over(newest_first))
-        .where(F.col("_rank") <= 2 * days + 1)
-        .where(F.col("_rank").isin(1, days + 1, 2 * days + 1))
-    )
+    recent = cut_to_lag(df, lag, date).select(*ids, *columns)
+    if strategy == "days":
+        later = F.sum("_n").over(newest_first.rowsBetween(Window.unboundedPreceding, -1))
+        rank = (F.coalesce(later, F.lit(0)) + 1).alias("_rank")
+        ranks = recent.groupBy(key, date).agg(F.count("*").alias("_n")).select(
+            F.col(key).alias("_of"), F.col(date).alias("_day"), rank
+        )
+        same = F.col(key).eqNullSafe(F.col("_of")) & (F.col(date) == F.col("_day"))
+        ranked = recent.join(ranks.where(F.col("_rank").isin(*picked)), same).drop("_of", "_day")
+    else:
+        # The rank limit is pushed below the shuffle: each map task sends at
+        # most 2 * days + 1 reports per key.
+        ranked = (
+            recent.withColumn("_rank", F.rank().over(newest_first))
+            .where(F.col("_rank") <= 2 * days + 1)
+            .where(F.col("_rank").isin(*picked))
+        )
+    ranked = lookup(ranked, population, key, ["Population"])
     capita = {
         f"_per_{m.column(days)}": per_100k(F.col(m.column(days)), F.col("Population"))
         for m in measures

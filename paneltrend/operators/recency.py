@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -13,6 +13,27 @@ from ..specs import DATE, IDS, KEY, ChangeSpec, ChangeWindow
 from .reshape import stack
 
 
+CHANGE_STRATEGIES = ("window", "index")
+
+
+def _on_points(
+    panel: DataFrame, anchor: dict, points: Sequence[tuple], key: str, date: str
+) -> DataFrame:
+    """The rows on a point of the grid, with their key's anchors, by an index of each key's days."""
+    index = panel.groupBy(F.col(key).alias("_of")).agg(F.collect_set(date).alias("_days"))
+
+    def newest(lag: int) -> Column:
+        upto = F.filter("_days", lambda d: d <= F.date_sub(F.array_max("_days"), lag))
+        return F.array_max(upto)
+
+    anchors = {name: newest(lag or 0).alias(name) for lag, name in anchor.items()}
+    told = index.where(F.size("_days") > 0).select("_of", *anchors.values())
+    days = F.array_distinct(F.array(*(F.date_sub(anchor[lag], d) for lag, d in points)))
+    told = told.withColumn("_day", F.explode(days))
+    same = F.col(key).eqNullSafe(F.col("_of")) & (F.col(date) == F.col("_day"))
+    return panel.join(told, same).drop("_of", "_day")
+
+
 def change_since(
     df: DataFrame,
     spec: ChangeSpec,
@@ -21,6 +42,7 @@ def change_since(
     ids: Sequence[str] = IDS,
     key: str = KEY,
     date: str = DATE,
+    strategy: str = "window",
 ) -> DataFrame:
     """Rows per key, window, measure and kind (``Raw``, ``Per100K``).
 
@@ -32,25 +54,21 @@ def change_since(
     The whole grid is answered from one pass: the anchor dates are attached by
     windows without ordering, only rows on an anchor survive, and one
     aggregate per key (same partitioning, no further shuffle) lines them up.
+
+    With ``strategy="index"`` the days of each key are gathered in an array
+    (as long as the calendar, combined before the shuffle), all anchors
+    are looked up in it, and only the rows on the days that the grid needs are
+    joined, by key and day: no task holds a key's rows.
     """
+    if strategy not in CHANGE_STRATEGIES:
+        raise ValueError(f"strategy must be one of {CHANGE_STRATEGIES}, not {strategy!r}")
     totals = [column for _, column in spec.totals]
     by_key = Window.partitionBy(key)
     lags = sorted({w.lag for w in windows if w.days is not None})
 
     # Anchor of a window without days: the newest date of all.
     anchor = {None: "_anchor_all"} | {lag: f"_anchor_{lag}" for lag in lags}
-    panel = df.select(*ids, "Population", *totals).withColumn(
-        "_anchor_all", F.max(date).over(by_key)
-    )
-    if lags:
-        panel = panel.withColumns(
-            {
-                anchor[lag]: F.max(
-                    F.when(F.col(date) <= F.date_sub("_anchor_all", lag), F.col(date))
-                ).over(by_key)
-                for lag in lags
-            }
-        )
+    panel = df.select(*ids, "Population", *totals)
 
     # The points the grid needs: (lag, 0) is the anchor row, (lag, d) the
     # row d days before it.
@@ -59,6 +77,17 @@ def change_since(
     )
     if any(w.days is None for w in windows):
         points.append((None, 0))
+    if strategy == "index":
+        panel = _on_points(panel, anchor, points, key, date)
+    else:
+        panel = panel.withColumn("_anchor_all", F.max(date).over(by_key)).withColumns(
+            {
+                anchor[lag]: F.max(
+                    F.when(F.col(date) <= F.date_sub("_anchor_all", lag), F.col(date))
+                ).over(by_key)
+                for lag in lags
+            }
+        )
     is_point = {p: F.col(date) == F.date_sub(anchor[p[0]], p[1]) for p in points}
     wanted = F.lit(False)
     for condition in is_point.values():
