@@ -180,25 +180,26 @@ class TpchPanels:
     def hosp(self) -> DataFrame:
         """Shipped quantities by supplier nation and day.
 
-        Lines are read once and summed by supplier and day, combined before
-        the shuffle; suppliers of a day are then the rows that a nation's sums
-        are made of, and a busy supplier weighs no more than its days.
+        Lines are read once.  The first line that a supplier has on a day is
+        marked after one shuffle by both, which also spreads a busy supplier
+        over its days; counting marks counts suppliers.  So sums are kept by
+        nation and day alone, and no task holds sums for each supplier and day.
         """
         suppliers = self.table("supplier").select(
             F.col("s_suppkey").alias("supplier"), F.col("s_nationkey").alias("nation")
         )
+        flag = F.col("l_returnflag")
         lines = self.table("lineitem").select(
             F.col("l_suppkey").alias("supplier"),
             F.to_date("l_shipdate").alias("Date"),
             F.col("l_quantity").cast("bigint").alias("quantity"),
-            "l_returnflag",
-            "l_linestatus",
-        )
-        quantity = F.col("quantity")
-        returned = F.col("l_returnflag") == "R"
-        accepted = F.col("l_returnflag") == "A"
-        neither = F.col("l_returnflag") == "N"
-        filled = F.col("l_linestatus") == "F"
+            F.when(flag == "R", 1).when(flag == "A", 2).when(flag == "N", 3).alias("flag"),
+            (F.col("l_linestatus") == "F").alias("filled"),
+        ).where(F.col("supplier").isNotNull())
+        of_day = Window.partitionBy("supplier", "Date").orderBy("Date")
+        marked = lines.withColumn("first", F.row_number().over(of_day) == 1)
+        quantity, filled = F.col("quantity"), F.col("filled")
+        returned, accepted, neither = (F.col("flag") == code for code in (1, 2, 3))
         n = F.count("*")
         measures = {
             "BedsTotal": n * 50,
@@ -221,11 +222,13 @@ class TpchPanels:
             "VentilatorsAvailable": _count_if(neither) * 5,
             "CovidVentilatorsUsed": _sum_if(neither & ~filled, quantity),
         }
-        by_supplier = lines.groupBy("supplier", "Date").agg(*[c.alias(name) for name, c in measures.items()])
         daily = (
-            by_supplier.join(suppliers, "supplier")
+            marked.join(suppliers, "supplier")
             .groupBy("nation", "Date")
-            .agg(F.count("*").alias("HospitalsReporting"), *[F.sum(name).alias(name) for name in measures])
+            .agg(
+                _count_if(F.col("first")).alias("HospitalsReporting"),
+                *[c.alias(name) for name, c in measures.items()],
+            )
         )
         places = suppliers.groupBy("nation").agg(F.count("*").alias("HospitalsTotal"))
         return self._named(

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import contextlib
+import datetime as dt
 import io
 import re
 
 import pytest
-from conftest import SF_DIR
+from conftest import SF_DIR, rows_of
 
 from checks.queries import PLACES, registered
 from paneltrend.operators import (
@@ -137,3 +138,38 @@ def test_snapshot_comparisons_read_the_facts_once_when_run(spark, name):
     text = plan(df).split("== Initial Plan ==")[0]
     assert len(re.findall(r"ReadSchema: struct<[^>]*l_shipdate", text)) == 1
     assert len(set(re.findall(r"Subquery subquery#(\d+)", text))) == 1
+
+
+def test_suppliers_of_a_day_are_counted_without_sums_by_supplier(spark, tmp_path):
+    """Marked lines are summed by nation and day alone; repeated and unknown suppliers count as joined."""
+    tables = {
+        "nation": ([(1, "N1", 7), (2, "N2", 7)], "n_nationkey int, n_name string, n_regionkey int"),
+        "region": ([(7, "R")], "r_regionkey int, r_name string"),
+        "supplier": ([(10, 1), (11, 1), (12, 2), (12, 2), (None, 2)], "s_suppkey bigint, s_nationkey int"),
+        "lineitem": (
+            [
+                (10, "2021-03-01", 5.0, "R", "F"),
+                (10, "2021-03-01", 7.0, "R", None),
+                (11, "2021-03-01", None, "A", "O"),
+                (11, None, 2.0, "N", "O"),
+                (11, None, 3.0, None, "F"),
+                (12, "2021-03-01", 4.0, "N", "F"),
+                (None, "2021-03-01", 9.0, "R", "F"),
+                (99, "2021-03-01", 9.0, "R", "F"),
+            ],
+            "l_suppkey bigint, l_shipdate string, l_quantity double, l_returnflag string, l_linestatus string",
+        ),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    hospitals = TpchPanels(spark, str(tmp_path)).hosp
+    columns = ["GeoID", "Date", "HospitalsReporting", "HospitalsTotal", "BedsTotal", "BedsUsed", "CovidTotal"]
+    columns += ["CovidNew24HConfirmed", "CovidNew24HSuspected", "CovidICUTotal", "VentilatorsUsed", "VentilatorsAvailable"]
+    first = dt.date(2021, 3, 1)
+    assert rows_of(hospitals, *columns) == [
+        ("N1", None, 1, 2, 100, 5, 0, None, None, None, None, 5),
+        ("N1", first, 2, 2, 150, 12, 12, 5, None, None, None, 0),
+        ("N2", first, 2, 3, 100, 8, 0, None, None, None, 8, 10),
+    ]
+    text = hospitals._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in text.splitlines() if "Aggregate [supplier#" in line]
