@@ -87,16 +87,25 @@ def earlier_state(df: DataFrame) -> DataFrame:
     return other.where(told != 0).unionByName(withdrawn)
 
 
-def roll_after_update(p: TpchPanels) -> ops.Rebuilt:
-    now, was = panel(p), earlier_state(panel(p))
-    rolled = ops.rolling_summary(was, 7, ROLLED)
-    return ops.roll_again(rolled, now, ops.changed_days(was, now), 7, ROLLED)
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` written and read again: each use of it is a scan, not a copy of its plan."""
+    at = scratch(df.sparkSession)
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
+def roll_after_update(p: TpchPanels) -> tuple[DataFrame, ops.Rebuilt]:
+    """The summary of the state before, and what the back-update makes of it; inputs are kept tables."""
+    now = kept(panel(p))
+    was = kept(earlier_state(now))
+    rolled = kept(ops.rolling_summary(was, 7, ROLLED))
+    return rolled, ops.roll_again(rolled, now, kept(ops.changed_days(was, now)), 7, ROLLED)
 
 
 def comparison_after_update(p: TpchPanels) -> DataFrame:
-    wide = ops.with_previous(ops.rolling_summary(earlier_state(panel(p)), 7, ROLLED), COMPARED)
-    rolled = roll_after_update(p)
-    again = ops.compare_again(wide, rolled.table, rolled.touched, COMPARED)
+    before, rolled = roll_after_update(p)
+    wide = ops.with_previous(before, COMPARED)
+    again = ops.compare_again(wide, kept(rolled.table), rolled.touched, COMPARED)
     return ops.compare_wide(again.table, COMPARED)
 
 
@@ -158,7 +167,7 @@ OPERATORS: Mapping[str, Query] = {
     "rolling_raw_events_blocks": lambda p: ops.rolling_summary(
         p.events, 7, CLICKS, ids=("GeoID", "Date", "event_id"), strategy="blocks"
     ),
-    "rolling_back_update": lambda p: roll_after_update(p).table,
+    "rolling_back_update": lambda p: roll_after_update(p)[1].table,
     "centred_max_blocks": lambda p: ops.rolling_max(
         p.hosp, "HospitalsReporting", "HospitalsTotal", strategy="blocks"
     ),

@@ -173,3 +173,10 @@ def test_suppliers_of_a_day_are_counted_without_sums_by_supplier(spark, tmp_path
     ]
     text = hospitals._jdf.queryExecution().optimizedPlan().toString()
     assert not [line for line in text.splitlines() if "Aggregate [supplier#" in line]
+
+
+@pytest.mark.parametrize(("name", "most"), [("rolling_back_update", 5), ("compare_back_update", 12)])
+def test_rebuilds_scan_kept_tables(spark, name, most):
+    """A plan that held its inputs' plans wherever it uses them would be too large for a driver."""
+    plan = registered()[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan()
+    assert plan.collectLeaves().size() <= most
